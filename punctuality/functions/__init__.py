@@ -9,11 +9,12 @@ from punctuality.functions.text import (
     reason_title,
     stop_key,
 )
-from punctuality.functions.verdict import cancelled, reason, unreported
+from punctuality.functions.verdict import cancelled, flags_of, reason, report_code, unreported
 
 __all__ = [
     "cancelled",
     "clock_seconds",
+    "flags_of",
     "instant",
     "leading_value",
     "line_code",
@@ -23,6 +24,7 @@ __all__ = [
     "rate_pct",
     "reason",
     "reason_title",
+    "report_code",
     "service_day_seconds",
     "stop_key",
     "unreported",

@@ -28,6 +28,25 @@ def unreported(departure: Column, arrival: Column) -> Column:
     return _either(STATUS_NO_REPORT, departure, arrival)
 
 
+def report_code(is_cancelled: Column, is_unreported: Column) -> Column:
+    """Both flags, of three values each, as one number: the smaller, the graver. As a number it can be reduced by a
+    hash aggregate. :func:`flags_of` gives the flags back."""
+
+    def digit(flag: Column) -> Column:
+        return F.when(flag, 0).when(~flag, 2).otherwise(1)
+
+    return (digit(is_cancelled) * 3 + digit(is_unreported)).cast("tinyint")
+
+
+def flags_of(code: Column) -> tuple[Column, Column]:
+    """(is_cancelled, is_unreported) of a report code."""
+
+    def flag(digit: Column) -> Column:
+        return F.when(digit == 0, True).when(digit == 2, False)
+
+    return flag(F.floor(code / 3)), flag(code % 3)
+
+
 def reason(is_cancelled: Column, is_delayed: Column, is_unreported: Column) -> Column:
     """Reason code: a cancellation outranks a delay, a delay outranks a missing report. Never NULL."""
     ranked = ((is_cancelled, CANCELLED_SERVICE), (is_delayed, DELAY), (is_unreported, MISSING_STATUS))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,9 @@ from punctuality.config import MatchConfig
 from punctuality.functions import (
     cancelled,
     clock_seconds,
+    flags_of,
     reason,
+    report_code,
     service_day_seconds,
     stop_key,
     unreported,
@@ -30,41 +35,62 @@ PASSAGE_KEY = (
     "stop_point_name",
     "expected_departure_time",
 )
-PASSAGE_TIE = ("line_ref", "departure_status", "arrival_status")
+
+
+def _known(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows with a value in each column, written so that it reaches the scan."""
+    return rows.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
 
 
 def planned_departures(schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """Schedule rows that can be matched: known line and stop, readable clock time."""
-    return schedule.withColumns(
+    placed = _known(schedule, "line_code", "stop_name", "departure_time").withColumns(
         {
             "stop_key": stop_key(F.col("stop_name"), config.collapse_whitespace),
             "planned_seconds": clock_seconds(F.col("departure_time")),
         }
-    ).na.drop(subset=[*GROUP, "planned_seconds"])
+    )
+    return _known(placed, "planned_seconds")
 
 
-def _placed(passages: DataFrame, config: MatchConfig) -> DataFrame:
-    expected = F.col("expected_departure_ts")
-    return passages.withColumns(
+def _reports(passages: DataFrame) -> DataFrame:
+    """Passages that can be matched, cut to what the match needs, the statuses as one number."""
+    statuses = F.col("departure_status"), F.col("arrival_status")
+    return _known(passages, "line_code", "stop_point_name", "expected_departure_ts").select(
+        *PASSAGE_KEY,
+        "recorded_at_ts",
+        "expected_departure_ts",
+        report_code(cancelled(*statuses), unreported(*statuses)).alias("report"),
+    )
+
+
+def _placed(reports: DataFrame, config: MatchConfig) -> DataFrame:
+    is_cancelled, is_unreported = flags_of(F.col("report"))
+    return reports.withColumns(
         {
             "stop_key": stop_key(F.col("stop_point_name"), config.collapse_whitespace),
-            "expected_seconds": service_day_seconds(expected, config.rollover_hour, config.time_zone),
+            "expected_seconds": service_day_seconds(
+                F.col("expected_departure_ts"), config.rollover_hour, config.time_zone
+            ),
+            "is_cancelled": is_cancelled,
+            "is_unreported": is_unreported,
         }
-    )
+    ).drop("report")
 
 
-def observed_departures(
-    passages: DataFrame, config: MatchConfig = MatchConfig(), ranked: bool = False
-) -> DataFrame:
-    """Passages that can be matched, one per observation: known line and stop, readable expected time.
+def observed_departures(passages: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
+    """One row per observation: known line and stop, readable expected time, and the gravest report about it.
 
-    Copies of an observation share line, stop and expected time, hence the planned departure, so they are reduced
-    to one before the match; that also evens out the shuffle.
+    Passages of one observation share line, stop and expected time, hence the planned departure, so they are
+    reduced to one before the match. The aggregate works on numbers only (instants are equal within a key), which
+    makes it a hash aggregate that merges copies before the shuffle.
     """
-    usable = passages.na.drop(subset=["line_code", "stop_point_name", "expected_departure_ts"])
-    needed = usable.select(*PASSAGE_KEY, *PASSAGE_TIE, "recorded_at_ts", "expected_departure_ts")
-    reduce = nearest.collapse_ranked if ranked else nearest.collapse
-    return _placed(reduce(needed, PASSAGE_KEY, PASSAGE_TIE), config)
+    merged = (
+        _reports(passages)
+        .groupBy(*PASSAGE_KEY)
+        .agg(*[F.min(c).alias(c) for c in ("recorded_at_ts", "expected_departure_ts", "report")])
+    )
+    return _placed(merged, config)
 
 
 def departure_spans(schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
@@ -96,9 +122,10 @@ def match_passages(passages: DataFrame, schedule: DataFrame, config: MatchConfig
 def match_passages_windowed(
     passages: DataFrame, schedule: DataFrame, config: MatchConfig = MatchConfig()
 ) -> DataFrame:
-    """Same rows as :func:`match_passages`, through window functions."""
+    """Same rows as :func:`match_passages`, through window functions: one to rank the passages of an observation,
+    two to find the neighbours in time."""
     return nearest.nearest_match_windowed(
-        observed_departures(passages, config, ranked=True),
+        _placed(nearest.first_per_key(_reports(passages), PASSAGE_KEY, ["report"]), config),
         planned_departures(schedule, config),
         on=GROUP,
         observed_time="expected_seconds",
@@ -115,9 +142,8 @@ def candidate_statistics(
 ) -> DataFrame:
     """Per line: how many pairs of passage and planned departure share line and stop, how many are within the
     tolerance, and the sum of their gaps; counted without producing the pairs."""
-    observed = _placed(passages, config).na.drop(subset=[*GROUP, "expected_seconds"])
     per_stop = nearest.pair_statistics(
-        observed,
+        _placed(_reports(passages), config),
         planned_departures(schedule, config),
         on=GROUP,
         observed_time="expected_seconds",
@@ -141,19 +167,16 @@ def judge(matches: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     missing report counts as a disruption.
     """
     late_by = F.col("expected_seconds") - F.col("planned_seconds")
-    statuses = F.col("departure_status"), F.col("arrival_status")
+    flags = F.col("is_cancelled"), F.col("is_delayed"), F.col("is_unreported")
     return (
         matches.withColumns(
             {
                 "delay_minutes": F.round(late_by / F.lit(60.0), 2),
                 "match_gap_minutes": F.round(F.abs(late_by) / F.lit(60.0), 2),
-                "is_cancelled": cancelled(*statuses),
             }
         )
         .withColumn("is_delayed", F.col("delay_minutes") >= config.delay_threshold_minutes)
-        .withColumn(
-            "disruption_reason", reason(F.col("is_cancelled"), F.col("is_delayed"), unreported(*statuses))
-        )
+        .withColumn("disruption_reason", reason(*flags))
         .withColumn("is_disrupted", F.col("disruption_reason") != NORMAL)
         .select(*schemas.names(schemas.MATCHED))
     )

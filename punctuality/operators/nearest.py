@@ -30,21 +30,14 @@ def _bucket(time: str, width: int) -> Column:
     return F.floor(F.col(time) / width).cast("int")
 
 
-def collapse(rows: DataFrame, key: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """One row per key: the one with the smallest tie columns (NULLs first), then the smallest other columns.
+def first_per_key(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the smallest order columns, NULLs first.
 
-    An aggregate rather than a window, so copies of a key are merged before the shuffle.
+    A filter on ``row_number`` keeps one row per key in every task before the shuffle as well, so copies of a key
+    do not meet in one task. For text columns this is cheaper than an aggregate, which would have to sort, too.
     """
-    rest = [c for c in rows.columns if c not in key and c not in tie]
-    best = F.min(F.struct(*tie, *rest)).alias("best")
-    return rows.groupBy(*key).agg(best).select(*key, "best.*")
-
-
-def collapse_ranked(rows: DataFrame, key: Sequence[str], tie: Sequence[str]) -> DataFrame:
-    """Same rows as :func:`collapse`, through ``row_number``."""
-    rest = [c for c in rows.columns if c not in key and c not in tie]
-    order = [F.col(c).asc_nulls_first() for c in (*tie, *rest)]
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    sort = [F.col(c).asc_nulls_first() for c in order]
+    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*sort))
     return rows.withColumn("rank", rank).filter("rank = 1").drop("rank")
 
 
@@ -64,7 +57,7 @@ def winning_spans(
     ``last - first + 1 + 2 * tolerance`` rows, whatever the size of the input.
     """
     reachable = planned.filter(F.col(time).between(first - tolerance, last + tolerance))
-    winners = collapse(reachable, [*on, time], tie)
+    winners = first_per_key(reachable, [*on, time], tie)
     here = F.col(time)
     in_time = Window.partitionBy(*on).orderBy(time)
     before, after = F.lag(time).over(in_time), F.lead(time).over(in_time)
@@ -126,7 +119,7 @@ def nearest_match_windowed(
     second choice for large inputs.
     """
     reachable = planned.filter(F.col(planned_time).between(first - tolerance, last + tolerance))
-    winners = collapse(reachable, [*on, planned_time], planned_tie)
+    winners = first_per_key(reachable, [*on, planned_time], planned_tie)
     carried = [c for c in winners.columns if c not in on]
     moment = "moment"
     asked = observed.select(*on, F.col(observed_time).alias(moment)).distinct()

@@ -34,7 +34,7 @@ def flatten_snapshots(documents: DataFrame) -> DataFrame:
 def build_passages(visits: DataFrame) -> DataFrame:
     """Visits at a known stop, with line code and parsed instants."""
     return (
-        visits.na.drop(subset=["monitoring_ref", "stop_point_name"])
+        visits.filter("monitoring_ref IS NOT NULL AND stop_point_name IS NOT NULL")
         .withColumns(
             {
                 "line_code": line_code(F.col("line_ref"), F.col("line_ref")),

@@ -115,7 +115,9 @@ passages AS (
     WHERE monitoring_ref IS NOT NULL AND stop_point_name IS NOT NULL),
 placed AS (
     SELECT *, {PLACE.format(name="stop_point_name")} AS stop_key,
-           {DAY_SECONDS.format(ts="expected_departure_ts")} AS expected_seconds
+           {DAY_SECONDS.format(ts="expected_departure_ts")} AS expected_seconds,
+           lower(departure_status) = 'cancelled' OR lower(arrival_status) = 'cancelled' AS is_cancelled,
+           lower(departure_status) = 'noreport' OR lower(arrival_status) = 'noreport' AS is_unreported
     FROM passages
     WHERE line_code IS NOT NULL AND expected_departure_ts IS NOT NULL)
 """
@@ -129,8 +131,9 @@ ranked AS (
                PARTITION BY source_file, recorded_at_time, monitoring_ref, line_code, stop_point_name,
                             expected_departure_time
                ORDER BY abs(expected_seconds - planned_seconds), planned_seconds, trip_id, departure_time,
-                        route_short_name NULLS FIRST, stop_name, line_ref NULLS FIRST,
-                        departure_status NULLS FIRST, arrival_status NULLS FIRST) AS place
+                        route_short_name NULLS FIRST, stop_name,
+                        CASE WHEN is_cancelled THEN 0 WHEN is_cancelled IS NULL THEN 1 ELSE 2 END,
+                        CASE WHEN is_unreported THEN 0 WHEN is_unreported IS NULL THEN 1 ELSE 2 END) AS place
     FROM placed JOIN planned USING (line_code, stop_key)),
 nearest AS (
     SELECT * FROM ranked WHERE place = 1 AND abs(expected_seconds - planned_seconds) <= {tolerance})
@@ -140,9 +143,7 @@ nearest AS (
 MATCHED = """
 flagged AS (
     SELECT *, round((expected_seconds - planned_seconds) / CAST(60 AS DOUBLE), 2) AS delay_minutes,
-           round(abs(expected_seconds - planned_seconds) / CAST(60 AS DOUBLE), 2) AS match_gap_minutes,
-           lower(departure_status) = 'cancelled' OR lower(arrival_status) = 'cancelled' AS is_cancelled,
-           lower(departure_status) = 'noreport' OR lower(arrival_status) = 'noreport' AS is_unreported
+           round(abs(expected_seconds - planned_seconds) / CAST(60 AS DOUBLE), 2) AS match_gap_minutes
     FROM nearest),
 matched AS (
     SELECT source_file, recorded_at_time, recorded_at_ts, monitoring_ref, line_code, route_short_name,
@@ -214,7 +215,7 @@ MATCH = [TABLES, SCHEDULE, PASSAGES, matches(7200)]
 VERDICT = [*MATCH, MATCHED]
 MATCH_COLUMNS = """
     SELECT source_file, recorded_at_time, monitoring_ref, line_code, stop_point_name, expected_departure_time,
-           line_ref, departure_status, arrival_status, trip_id, departure_time, route_short_name,
+           is_cancelled, is_unreported, trip_id, departure_time, route_short_name,
            expected_seconds, planned_seconds
     FROM nearest
 """

@@ -26,7 +26,8 @@ NARROW = MatchConfig(tolerance_seconds=900, bucket_seconds=300)
 INSTANTS = ("recorded_at_ts", "expected_departure_ts")
 MATCH_COLUMNS = (
     *matching.PASSAGE_KEY,
-    *matching.PASSAGE_TIE,
+    "is_cancelled",
+    "is_unreported",
     "trip_id",
     "departure_time",
     "route_short_name",

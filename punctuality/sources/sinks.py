@@ -35,7 +35,12 @@ def export_report(rows: DataFrame, path: str) -> None:
 
     For frames that are limited already: all their rows go through one task.
     """
-    rows.coalesce(1).write.mode("overwrite").options(header=not rows.isEmpty(), **EXACT_TEXT).csv(path)
+    found = Observation()
+    report = rows.observe(found, F.count(F.lit(1)).alias("rows")).coalesce(1)
+    report.write.mode("overwrite").options(header=True, **EXACT_TEXT).csv(path)
+    if found.get["rows"] == 0:
+        nothing = rows.sparkSession.createDataFrame([], rows.schema).coalesce(1)
+        nothing.write.mode("overwrite").options(header=False, **EXACT_TEXT).csv(path)
 
 
 def clean_csv(spark: SparkSession, source: str, target: str) -> None:
