@@ -44,11 +44,13 @@ def _known(rows: DataFrame, *columns: str) -> DataFrame:
 
 def planned_departures(schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """Schedule rows that can be matched: known line and stop, readable clock time."""
-    placed = _known(schedule, "line_code", "stop_name", "departure_time").withColumns(
-        {
-            "stop_key": stop_key(F.col("stop_name"), config.collapse_whitespace),
-            "planned_seconds": clock_seconds(F.col("departure_time")),
-        }
+    # The clock text is parsed in a one-element unnest. As a plain column the optimizer would copy the whole parse
+    # into every filter on the seconds, and into the scan's filter once more.
+    seconds = F.explode(F.array(clock_seconds(F.col("departure_time"))))
+    placed = (
+        _known(schedule, "line_code", "stop_name", "departure_time")
+        .withColumn("stop_key", stop_key(F.col("stop_name"), config.collapse_whitespace))
+        .withColumn("planned_seconds", seconds)
     )
     return _known(placed, "planned_seconds")
 
