@@ -48,8 +48,9 @@ def clean_csv(spark: SparkSession, source: str, target: str) -> None:
     raw = spark.read.options(header=True, escape='"').csv(source)
     named = raw.toDF(*[c.strip() for c in raw.columns])
     # A quoted empty field is read as an empty text, and is no value either.
-    blank_as_null = named.select([F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in named.columns])
-    write_csv(blank_as_null.na.drop("all"), target)
+    fields = {c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in named.columns}
+    some_value = F.coalesce(*fields.values()).isNotNull()
+    write_csv(named.filter(some_value).select([field.alias(c) for c, field in fields.items()]), target)
 
 
 def clean_feed(spark: SparkSession, files: dict[str, str]) -> dict[str, str | None]:
