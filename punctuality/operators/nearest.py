@@ -158,16 +158,22 @@ def pair_statistics(
     observed_time: str,
     planned_time: str,
     tolerance: int,
+    first: int,
+    last: int,
 ) -> DataFrame:
     """Per group: how many (observed, planned) pairs an equi-join would give, how many of them lie within the
     tolerance, and the sum of their time differences. Groups missing on either side give no row. Products of two
     large counts outgrow 64 bits, so these figures are decimals.
 
     The pairs themselves are not produced. Both sides are counted per distinct time; running totals along time
-    then tell how many planned rows lie before any moment and what their times add up to.
+    then tell how many planned rows lie before any moment and what their times add up to. Observed times lie in
+    ``first..last``, so planned rows beyond reach on either side are added up as one, which bounds a group.
     """
     asked = observed.groupBy(*on, F.col(observed_time).alias("moment")).agg(F.count(F.lit(1)).alias("weight"))
-    offered = planned.groupBy(*on, F.col(planned_time).alias("moment")).agg(F.count(F.lit(1)).alias("offers"))
+    bounded = F.least(F.lit(last + tolerance + 1), F.greatest(F.lit(first - tolerance - 1), F.col(planned_time)))
+    marks = planned.groupBy(*on, bounded.alias("at")).agg(
+        F.count(F.lit(1)).alias("offers"), F.sum(planned_time).alias("times")
+    )
     # Each asked moment probes the running totals at three places: at itself and at both ends of the tolerance.
     probes = asked.withColumn(
         "probe",
@@ -179,12 +185,11 @@ def pair_statistics(
             )
         ),
     ).select(*on, "moment", "weight", "probe.kind", "probe.at")
-    marks = offered.select(*on, F.col("moment").alias("at"), "offers")
     line = probes.unionByName(marks, allowMissingColumns=True)
     group = Window.partitionBy(*on)
     # A range frame includes all rows at the same moment, so probes see planned rows at their own moment.
     so_far = group.orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    offers = F.coalesce(F.col("offers"), F.lit(0))
+    offers, times = F.coalesce("offers", F.lit(0)), F.coalesce("times", F.lit(0))
     at, weight = F.col("at").cast("bigint"), F.col("weight").cast("decimal(19,0)")
     counted = line.select(
         *on,
@@ -192,9 +197,9 @@ def pair_statistics(
         "weight",
         "at",
         F.sum(offers).over(so_far).alias("n"),
-        F.sum(offers * at).over(so_far).alias("t"),
+        F.sum(times).over(so_far).alias("t"),
         F.sum(offers).over(group).alias("n_all"),
-        F.sum(offers * at).over(group).alias("t_all"),
+        F.sum(times).over(group).alias("t_all"),
     ).filter("kind IS NOT NULL AND n_all > 0")
     n, t, n_all, t_all = (F.col(c) for c in ("n", "t", "n_all", "t_all"))
     apart = (at * n - t) + (t_all - t - at * (n_all - n))

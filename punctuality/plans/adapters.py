@@ -19,16 +19,16 @@ from punctuality.sources.scratch import new_folder
 EVENTS_PER_DOCUMENT = 100
 
 ROUTES = """
-    SELECT CASE WHEN n_nationkey IN (19, 24) THEN 'IDFM:X' || n_nationkey
-                WHEN n_nationkey < 20 THEN 'IDFM:C' || lpad(CAST(n_nationkey + 1 AS STRING), 5, '0')
-                ELSE 'IDFM:R' || n_nationkey END AS route_id,
+    SELECT CASE WHEN n_nationkey IN (19, 24) THEN 'NET:X' || n_nationkey
+                WHEN n_nationkey < 20 THEN 'NET:C' || lpad(CAST(n_nationkey + 1 AS STRING), 5, '0')
+                ELSE 'NET:R' || n_nationkey END AS route_id,
            n_name AS route_short_name
     FROM {nation}
 """
 
 TRIPS = """
-    SELECT CASE WHEN o_custkey % 25 < 20 THEN 'IDFM:C' || lpad(CAST(o_custkey % 25 + 1 AS STRING), 5, '0')
-                ELSE 'IDFM:R' || (o_custkey % 25) END AS route_id,
+    SELECT CASE WHEN o_custkey % 25 < 20 THEN 'NET:C' || lpad(CAST(o_custkey % 25 + 1 AS STRING), 5, '0')
+                ELSE 'NET:R' || (o_custkey % 25) END AS route_id,
            CAST(o_orderkey AS STRING) AS trip_id
     FROM {orders}
 """
@@ -53,16 +53,16 @@ STOP_TIMES = """
 
 # One visit per event, and a second report of every fiftieth observation: another vehicle on the same line.
 VISITS = """
-    SELECT 'snapshot_STIF_StopPoint_Q_' || (document % 200) || '__'
+    SELECT 'snapshot_REF_StopPoint_Q_' || (document % 200) || '__'
                || (20240101 + document div 86400) || '_'
                || lpad(CAST(document div 3600 % 24 AS STRING), 2, '0')
                || lpad(CAST(document div 60 % 60 AS STRING), 2, '0')
                || lpad(CAST(document % 60 AS STRING), 2, '0') || '.json' AS source_file,
            document,
            date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") AS recorded_at_time,
-           'STIF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
+           'REF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
            CASE WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
-               || CASE WHEN line < 20 THEN 'STIF:Line::C' || lpad(CAST(line + 1 AS STRING), 5, '0') || ':'
+               || CASE WHEN line < 20 THEN 'REF:Line::C' || lpad(CAST(line + 1 AS STRING), 5, '0') || ':'
                        ELSE 'NATION_' || line END
                || CASE WHEN report = 1 AND event_id % 100 <> 1 THEN 'bis' ELSE '' END AS line_ref,
            p_name AS stop_point_name,

@@ -10,14 +10,14 @@ from punctuality.plans.adapters import EVENTS_PER_DOCUMENT
 
 TABLES = f"""
 routes AS (
-    SELECT CASE WHEN n_nationkey IN (19, 24) THEN 'IDFM:X' || n_nationkey
-                WHEN n_nationkey < 20 THEN 'IDFM:C' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 5, '0')
-                ELSE 'IDFM:R' || n_nationkey END AS route_id,
+    SELECT CASE WHEN n_nationkey IN (19, 24) THEN 'NET:X' || n_nationkey
+                WHEN n_nationkey < 20 THEN 'NET:C' || lpad(CAST(n_nationkey + 1 AS VARCHAR), 5, '0')
+                ELSE 'NET:R' || n_nationkey END AS route_id,
            n_name AS route_short_name
     FROM nation),
 trips AS (
-    SELECT CASE WHEN o_custkey % 25 < 20 THEN 'IDFM:C' || lpad(CAST(o_custkey % 25 + 1 AS VARCHAR), 5, '0')
-                ELSE 'IDFM:R' || (o_custkey % 25) END AS route_id,
+    SELECT CASE WHEN o_custkey % 25 < 20 THEN 'NET:C' || lpad(CAST(o_custkey % 25 + 1 AS VARCHAR), 5, '0')
+                ELSE 'NET:R' || (o_custkey % 25) END AS route_id,
            CAST(o_orderkey AS VARCHAR) AS trip_id
     FROM orders),
 stops AS (
@@ -35,15 +35,15 @@ stop_times AS (
                  (l_orderkey * 37 + l_partkey * 7919 + l_linenumber * 3571) % 79200 + 14400 AS s
           FROM lineitem)),
 visits AS (
-    SELECT 'snapshot_STIF_StopPoint_Q_' || (document % 200) || '__' || (20240101 + document // 86400) || '_'
+    SELECT 'snapshot_REF_StopPoint_Q_' || (document % 200) || '__' || (20240101 + document // 86400) || '_'
                || lpad(CAST(document // 3600 % 24 AS VARCHAR), 2, '0')
                || lpad(CAST(document // 60 % 60 AS VARCHAR), 2, '0')
                || lpad(CAST(document % 60 AS VARCHAR), 2, '0') || '.json' AS source_file,
            document,
            strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS recorded_at_time,
-           'STIF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
+           'REF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
            CASE WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
-               || CASE WHEN line < 20 THEN 'STIF:Line::C' || lpad(CAST(line + 1 AS VARCHAR), 5, '0') || ':'
+               || CASE WHEN line < 20 THEN 'REF:Line::C' || lpad(CAST(line + 1 AS VARCHAR), 5, '0') || ':'
                        ELSE 'NATION_' || line END
                || CASE WHEN report = 1 AND event_id % 100 <> 1 THEN 'bis' ELSE '' END AS line_ref,
            p_name AS stop_point_name,
@@ -352,7 +352,7 @@ ORACLE: dict[str, str] = {
     "catalog_publish": sql(
         [*VERDICT, by_line(), BY_STOP],
         """
-        SELECT 'hybrid_transport_monitoring' AS table_name, count(*) AS rows FROM matched
+        SELECT 'matched_observations' AS table_name, count(*) AS rows FROM matched
         UNION ALL SELECT 'line_performance', count(*) FROM lines
         UNION ALL SELECT 'stop_performance', count(*) FROM stop_rows
         UNION ALL SELECT 'disruption_reasons', count(DISTINCT disruption_reason) FROM matched
@@ -380,7 +380,7 @@ ORACLE: dict[str, str] = {
     "ingest_audit": sql(
         [TABLES],
         """
-        SELECT source_file, replace('STIF_StopPoint_Q_' || (document % 200) || '_', '_', ':') AS monitoring_ref,
+        SELECT source_file, replace('REF_StopPoint_Q_' || (document % 200) || '_', '_', ':') AS monitoring_ref,
                strftime(strptime(split_part(split_part(source_file, '__', 2), '.', 1), '%Y%m%d_%H%M%S'),
                         '%Y-%m-%d %H:%M:%S') AS collected_at,
                CAST(CASE WHEN document % 7 = 3 THEN 3 ELSE 2 END AS INTEGER) AS deliveries,

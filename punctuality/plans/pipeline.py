@@ -38,7 +38,7 @@ FOLDERS = {
     "schedule": "processed/gtfs/gtfs_schedule.parquet",
     "spans": "processed/gtfs/departure_spans.parquet",
     "passages": "processed/realtime/realtime_passages.parquet",
-    "matched": "final/hybrid_transport_monitoring.parquet",
+    "matched": "final/matched_observations.parquet",
     "rollup": "analytics/rollup",
     "line_performance": "analytics/line_performance",
     "stop_performance": "analytics/stop_performance",
@@ -105,7 +105,7 @@ def export_reports(spark: SparkSession, at: Layout) -> None:
 def publish_catalog(spark: SparkSession, at: Layout, database: str, prefix: str, place: str | None = None) -> None:
     """Datasets → catalog tables."""
     catalog.create_database(spark, database, place)
-    locations = {"hybrid_transport_monitoring": at["matched"]} | {name: at[name] for name in INDICATORS}
+    locations = {"matched_observations": at["matched"]} | {name: at[name] for name in INDICATORS}
     catalog.publish(spark, database, prefix, locations)
 
 

@@ -269,7 +269,7 @@ def _catalog(spark: SparkSession, sf_dir: str, *wanted: str) -> tuple[str, str]:
     sinks.write_parquet(indicators.rollup(matched), f"{root}/rollup")
     figures = spark.read.parquet(f"{root}/rollup")
     rows = {
-        "hybrid_transport_monitoring": lambda: matched,
+        "matched_observations": lambda: matched,
         "line_performance": lambda: indicators.line_performance(figures),
         "stop_performance": lambda: indicators.stop_performance(figures),
         "disruption_reasons": lambda: indicators.disruption_reasons(figures),

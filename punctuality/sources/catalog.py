@@ -8,7 +8,7 @@ from punctuality import schemas
 
 # Published tables and their layouts.
 TABLES = {
-    "hybrid_transport_monitoring": schemas.MATCHED,
+    "matched_observations": schemas.MATCHED,
     "line_performance": schemas.LINE_PERFORMANCE,
     "stop_performance": schemas.STOP_PERFORMANCE,
     "disruption_reasons": schemas.DISRUPTION_REASONS,

@@ -32,9 +32,9 @@ def columns(spark):
 
 
 def test_line_code(evaluate):
-    rows = [("IDFM:C01742", "A"), (None, "A"), ("IDFM:R3", None), ("x", "y"), ("C1C2", "z"), ("c77", "z"), ("", None)]
+    rows = [("NET:C01742", "A"), (None, "A"), ("NET:R3", None), ("x", "y"), ("C1C2", "z"), ("c77", "z"), ("", None)]
     assert evaluate(rows, "ab", line_code(A, B)) == ["C01742", "A", None, "y", "C1", "z", None]
-    rows = ["STIF:Line::C01729:", "weird", None]
+    rows = ["REF:Line::C01729:", "weird", None]
     assert evaluate(rows, "a", line_code(A, A)) == ["C01729", "weird", None]
 
 

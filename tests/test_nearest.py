@@ -110,7 +110,7 @@ def test_pair_statistics_count_what_a_join_gives(spark):
     expected = pairs.groupBy("o.g").agg(
         F.count(F.lit(1)).alias("pairs"), F.count_if(gap <= 900).alias("inside"), F.sum(gap).alias("gap")
     )
-    found = pair_statistics(o, p, on=["g"], observed_time="t", planned_time="p", tolerance=900)
+    found = pair_statistics(o, p, on=["g"], observed_time="t", planned_time="p", tolerance=900, first=FIRST, last=LAST)
     got = found.select("g", *[F.col(c).cast("bigint") for c in ("candidate_pairs", "pairs_in_tolerance", "gap_seconds")])
     assert rows_of(got) == rows_of(expected)
     sizes = {r.g: (r.observed_rows, r.planned_rows) for r in found.collect()}

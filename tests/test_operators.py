@@ -27,8 +27,8 @@ def feed(spark, routes, trips, stop_times, stops):
 def test_schedule_keeps_and_drops(spark):
     tables = feed(
         spark,
-        routes=[("IDFM:C1", "A"), ("R2", "Bus"), ("R4", None)],
-        trips=[("IDFM:C1", "t1"), ("R2", "t2"), ("IDFM:C3", "t3"), ("R4", "t4"), ("R5", "t5"), (None, "t6")],
+        routes=[("NET:C1", "A"), ("R2", "Bus"), ("R4", None)],
+        trips=[("NET:C1", "t1"), ("R2", "t2"), ("NET:C3", "t3"), ("R4", "t4"), ("R5", "t5"), (None, "t6")],
         stop_times=[(f"t{i}", "s1", "08:00:00") for i in range(1, 8)]
         + [("t1", "s1", "08:00:00"), ("t1", "gone", "08:00:00"), ("t1", "s2", "09:00:00"), ("t2", "s1", None)],
         stops=[("s1", "Gare"), ("s2", None)],
@@ -44,7 +44,7 @@ def test_schedule_keeps_and_drops(spark):
     )
 
 
-def visit(ref="Q:1", line="STIF:C1:", names=("Gare",), expected="2026-01-05T08:00:00", departure=None, arrival=None):
+def visit(ref="Q:1", line="REF:C1:", names=("Gare",), expected="2026-01-05T08:00:00", departure=None, arrival=None):
     return {
         "RecordedAtTime": "2026-01-05T07:59:00",
         "MonitoringRef": {"value": ref},
@@ -71,7 +71,7 @@ def documents(spark, contents):
 
 CONTENTS = [
     (
-        "snapshot_STIF_StopPoint_Q_1__20260105_080102.json",
+        "snapshot_REF_StopPoint_Q_1__20260105_080102.json",
         [
             {"MonitoredStopVisit": [visit(), visit(names=["First", "Second"], expected="nope"), visit(names=[])]},
             {"MonitoredStopVisit": [visit(ref=None), visit(names=None), visit(line=None), None]},
@@ -97,8 +97,8 @@ def test_passages(spark):
 def test_audit(spark):
     audit = audit_snapshots(documents(spark, CONTENTS))
     got = {r.source_file: r for r in audit.collect()}
-    first = got["snapshot_STIF_StopPoint_Q_1__20260105_080102.json"]
-    assert first.monitoring_ref == "STIF:StopPoint:Q:1:"
+    first = got["snapshot_REF_StopPoint_Q_1__20260105_080102.json"]
+    assert first.monitoring_ref == "REF:StopPoint:Q:1:"
     assert first.collected_at == dt.datetime(2026, 1, 5, 8, 1, 2)
     assert (first.deliveries, first.nb_passages, first.visits, first.usable_visits) == (5, 3, 7, 3)
     assert first.first_recorded_at == first.last_recorded_at == "2026-01-05T07:59:00"
@@ -108,7 +108,7 @@ def test_audit(spark):
 
     reports = spark.createDataFrame(
         [
-            ("STIF:StopPoint:Q:1:", 200, 3, True, first.source_file, None, "2026-01-05T08:01:02+00:00"),
+            ("REF:StopPoint:Q:1:", 200, 3, True, first.source_file, None, "2026-01-05T08:01:02+00:00"),
             ("a", None, 0, False, None, "timeout", "2026-01-05T08:01:03+00:00"),
             ("b", None, 0, False, None, "refused", "2026-01-05T08:01:04+00:00"),
             ("c", 200, 1, True, "lost.json", None, "2026-01-05T08:01:05+00:00"),

@@ -28,10 +28,10 @@ def snapshot(folder, name, *visits):
 
 
 def test_csv_goes_by_name_and_stays_text(spark, tmp_path):
-    write(tmp_path / "routes.txt", "extra,route_short_name,route_id\n1,007,IDFM:C1\n2,,R2\n")
+    write(tmp_path / "routes.txt", "extra,route_short_name,route_id\n1,007,NET:C1\n2,,R2\n")
     routes = tables.read_csv(spark, str(tmp_path / "routes.txt"))
     assert rows_of(tables.keep_present(routes, ["route_id", "absent", "route_short_name"])) == [
-        ("IDFM:C1", "007"),
+        ("NET:C1", "007"),
         ("R2", None),
     ]
     with pytest.raises(ValueError, match="absent"):
@@ -101,8 +101,8 @@ def test_scratch_follows_the_cluster_setting(spark, tmp_path):
 
 def installation(tmp_path):
     raw = tmp_path / "raw"
-    write(raw / "gtfs/routes.txt", "route_id,route_short_name\nIDFM:C1,A\n")
-    write(raw / "gtfs/trips.txt", "route_id,service,trip_id\nIDFM:C1,x,t1\nIDFM:C1,x,t2\n")
+    write(raw / "gtfs/routes.txt", "route_id,route_short_name\nNET:C1,A\n")
+    write(raw / "gtfs/trips.txt", "route_id,service,trip_id\nNET:C1,x,t1\nNET:C1,x,t2\n")
     write(raw / "gtfs/stops.txt", "stop_id,stop_name\ns1,GARE\n")
     write(raw / "gtfs/stop_times.txt", "trip_id,departure_time,stop_id\nt1,08:00:00,s1\nt2,08:20:00,s1\n")
     realtime = raw / "realtime"
@@ -143,7 +143,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
         ("delay", 1),
         ("normal", 1),
     ]
-    managed = spark.table("transport.me_hybrid_transport_monitoring")
+    managed = spark.table("transport.me_matched_observations")
     assert rows_of(managed) == rows_of(matched)
     assert spark.sql("DESCRIBE EXTENDED transport.me_line_performance").filter("data_type = 'orc'").count() == 1
 
