@@ -45,6 +45,9 @@ FOLDERS = {
     "disruption_reasons": "analytics/disruption_reasons",
     "network_overview": "analytics/network_overview",
     "exports": "reports/exports",
+    "clean_feed": "processed/gtfs",
+    "arrivals": "final/arrivals.parquet",
+    "arrivals_state": "state/arrivals",
 }
 
 INDICATORS = {

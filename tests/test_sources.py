@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_operators import schedule, visit
 
 from punctuality import MatchConfig, schemas
+from punctuality.__main__ import arguments, run
 from punctuality.operators import matching
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.plans import pipeline
@@ -148,6 +149,15 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert spark.sql("DESCRIBE EXTENDED transport.me_line_performance").filter("data_type = 'orc'").count() == 1
 
 
+def test_command_line_stages(spark, tmp_path):
+    at = installation(tmp_path)
+    asked = arguments(["schedule", "clean", "stream", "--root", at.root, "--time-zone", "UTC"])
+    assert run(spark, asked)["schedule"] == 2
+    assert read_matches(spark, at["arrivals"]).count() == 3
+    cleaned = tables.read_csv(spark, f"{at['clean_feed']}/stops.csv")
+    assert rows_of(cleaned) == [("s1", "GARE")]
+
+
 def test_stream_equals_batch_and_restarts_cleanly(spark, tmp_path):
     arriving, output, state = tmp_path / "arriving", str(tmp_path / "out"), str(tmp_path / "state")
     spans = str(tmp_path / "spans")
