@@ -67,7 +67,7 @@ def shapes(spark: SparkSession) -> dict[str, float]:
     """Seconds of other shapes of the match, and of ours, over the same inputs."""
     config = MatchConfig()
     planned = matching.planned_departures(queries._schedule(spark, SF_DIR), config)
-    observed = matching._placed(matching._reports(adapters.passages(spark, SF_DIR)), config)
+    observed = matching._placed(matching._reports(adapters.passages(spark, SF_DIR), config), config)
     gap = F.abs(F.col("expected_seconds") - F.col("planned_seconds"))
     near = gap <= config.tolerance_seconds
     same = list(matching.GROUP)

@@ -35,6 +35,7 @@ PASSAGE_KEY = (
     "stop_point_name",
     "expected_departure_time",
 )
+MERGED = ("recorded_at_ts", "expected_departure_ts", "expected_seconds", "report")
 
 
 def _known(rows: DataFrame, *columns: str) -> DataFrame:
@@ -55,13 +56,16 @@ def planned_departures(schedule: DataFrame, config: MatchConfig = MatchConfig())
     return _known(placed, "planned_seconds")
 
 
-def _reports(passages: DataFrame) -> DataFrame:
-    """Passages that can be matched, cut to what the match needs, the statuses as one number."""
+def _reports(passages: DataFrame, config: MatchConfig) -> DataFrame:
+    """Passages that can be matched, cut to what the match needs: the statuses as one number, and the expected time
+    as seconds, computed here so that nothing after the aggregate repeats the zone arithmetic."""
     statuses = F.col("departure_status"), F.col("arrival_status")
+    seconds = service_day_seconds(F.col("expected_departure_ts"), config.rollover_hour, config.time_zone)
     return _known(passages, "line_code", "stop_point_name", "expected_departure_ts").select(
         *PASSAGE_KEY,
         "recorded_at_ts",
         "expected_departure_ts",
+        seconds.alias("expected_seconds"),
         report_code(cancelled(*statuses), unreported(*statuses)).alias("report"),
     )
 
@@ -71,9 +75,6 @@ def _placed(reports: DataFrame, config: MatchConfig) -> DataFrame:
     return reports.withColumns(
         {
             "stop_key": stop_key(F.col("stop_point_name"), config.collapse_whitespace),
-            "expected_seconds": service_day_seconds(
-                F.col("expected_departure_ts"), config.rollover_hour, config.time_zone
-            ),
             "is_cancelled": is_cancelled,
             "is_unreported": is_unreported,
         }
@@ -84,14 +85,10 @@ def observed_departures(passages: DataFrame, config: MatchConfig = MatchConfig()
     """One row per observation: known line and stop, readable expected time, and the gravest report about it.
 
     Passages of one observation share line, stop and expected time, hence the planned departure, so they are
-    reduced to one before the match. The aggregate works on numbers only (instants are equal within a key), which
+    reduced to one before the match. The aggregate works on numbers only (times are equal within a key), which
     makes it a hash aggregate that merges copies before the shuffle.
     """
-    merged = (
-        _reports(passages)
-        .groupBy(*PASSAGE_KEY)
-        .agg(*[F.min(c).alias(c) for c in ("recorded_at_ts", "expected_departure_ts", "report")])
-    )
+    merged = _reports(passages, config).groupBy(*PASSAGE_KEY).agg(*[F.min(c).alias(c) for c in MERGED])
     return _placed(merged, config)
 
 
@@ -127,7 +124,7 @@ def match_passages_windowed(
     """Same rows as :func:`match_passages`, through window functions: one to rank the passages of an observation,
     two to find the neighbours in time."""
     return nearest.nearest_match_windowed(
-        _placed(nearest.first_per_key(_reports(passages), PASSAGE_KEY, ["report"]), config),
+        _placed(nearest.first_per_key(_reports(passages, config), PASSAGE_KEY, ["report"]), config),
         planned_departures(schedule, config),
         on=GROUP,
         observed_time="expected_seconds",
@@ -145,7 +142,7 @@ def candidate_statistics(
     """Per line: how many pairs of passage and planned departure share line and stop, how many are within the
     tolerance, and the sum of their gaps; counted without producing the pairs."""
     per_stop = nearest.pair_statistics(
-        _placed(_reports(passages), config),
+        _placed(_reports(passages, config), config),
         planned_departures(schedule, config),
         on=GROUP,
         observed_time="expected_seconds",
