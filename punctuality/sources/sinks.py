@@ -14,8 +14,12 @@ EXACT_TEXT = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": Fals
 def write_parquet(rows: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replace a Parquet dataset and return how many rows were written, counted by the write itself.
 
-    With partition columns only the partitions that occur in ``rows`` are replaced.
+    With partition columns only the partitions that occur in ``rows`` are replaced. Rows are then rebalanced by
+    these columns first: otherwise every task would write a small file for every partition. Adaptive execution gives
+    a partition that holds much of the data to several tasks.
     """
+    if partition_by:
+        rows = rows.hint("rebalance", *partition_by)
     written = Observation()
     observed = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     writer = observed.write.mode("overwrite")

@@ -101,6 +101,13 @@ def test_first_per_key_puts_nulls_first(spark):
     assert rows_of(first_per_key(rows, ["k"], ["a", "b"])) == [(1, "a", None), (2, None, "z")]
 
 
+def test_first_per_key_reduces_before_the_shuffle(spark):
+    rows = spark.range(0, 1_000, 1, 4).selectExpr("id % 7 AS k", "string(id) AS a")
+    plan = plan_of(first_per_key(rows, ["k"], ["a"]))
+    assert plan.count("WindowGroupLimit") == 2
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange")
+
+
 def test_pair_statistics_count_what_a_join_gives(spark):
     observed, planned = random_case(5, 20_000)
     observed += observed[:40]

@@ -54,6 +54,12 @@ def test_snapshots_ignore_reports_and_broken_files(spark, tmp_path):
     assert rows_of(reports.select("monitoring_ref", "ok", "nb_passages")) == [("a", True, 2), ("b", False, None)]
 
 
+def test_no_snapshots_give_no_passages(spark, tmp_path):
+    write(tmp_path / "collection_report_20260105_080000.json", "[]")
+    found = build_passages(flatten_snapshots(snapshots.read_snapshots(spark, str(tmp_path))))
+    assert found.count() == 0
+
+
 def test_written_snapshots_read_back(spark, tmp_path):
     rows = [(f"snapshot_x_2026010{i}_000000.json", json.dumps({"Siri": {}, "n": "é"})) for i in range(1, 6)]
     folder = str(tmp_path / "out")
