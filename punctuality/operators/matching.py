@@ -92,10 +92,20 @@ def observed_departures(passages: DataFrame, config: MatchConfig = MatchConfig()
     return _placed(merged, config)
 
 
+def _span_parameters(config: MatchConfig) -> dict[str, int]:
+    """What spans depend on, apart from the bucket width, which they bring along."""
+    return {
+        "tolerance": config.tolerance_seconds,
+        "first": config.first_second,
+        "last": config.last_second,
+        "collapse_whitespace": int(config.collapse_whitespace),
+    }
+
+
 def departure_spans(schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """For each planned departure the expected times it is the match of. Worth keeping as a dataset: it depends on
     the schedule alone and serves every batch of passages."""
-    return nearest.winning_spans(
+    spans = nearest.winning_spans(
         planned_departures(schedule, config),
         on=GROUP,
         time="planned_seconds",
@@ -105,12 +115,19 @@ def departure_spans(schedule: DataFrame, config: MatchConfig = MatchConfig()) ->
         last=config.last_second,
         bucket=config.bucket_seconds,
     )
+    return spans.withMetadata("bucket", nearest.made_under(spans) | _span_parameters(config))
 
 
 def match_to_spans(passages: DataFrame, spans: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
-    """Passages with their planned departure, given :func:`departure_spans` made under the same config."""
-    observed = observed_departures(passages, config)
-    return nearest.join_spans(observed, spans, GROUP, "expected_seconds", config.bucket_seconds)
+    """Passages with their planned departure, given :func:`departure_spans` made under the same config.
+
+    Spans made under other parameters are refused; their bucket width is taken as it is.
+    """
+    made = nearest.made_under(spans)
+    differing = {name: made.get(name) for name, value in _span_parameters(config).items() if made.get(name) != value}
+    if differing:
+        raise ValueError(f"spans were made under another config: {differing}")
+    return nearest.join_spans(observed_departures(passages, config), spans, GROUP, "expected_seconds")
 
 
 def match_passages(passages: DataFrame, schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:

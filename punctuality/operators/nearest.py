@@ -54,7 +54,8 @@ def winning_spans(
     """The span of observed times that each planned row wins, once per time bucket it reaches into.
 
     Observed times lie in ``first..last``; planned times out of reach of that are dropped, so a group keeps at most
-    ``last - first + 1 + 2 * tolerance`` rows, whatever the size of the input.
+    ``last - first + 1 + 2 * tolerance`` rows, whatever the size of the input. The four numbers travel with the spans
+    as metadata of the bucket column, which Parquet keeps, so spans cannot be read under other ones by mistake.
     """
     reachable = planned.filter(F.col(time).between(first - tolerance, last + tolerance))
     winners = first_per_key(reachable, [*on, time], tie)
@@ -68,12 +69,19 @@ def winning_spans(
         winners.withColumns({"span_start": span_start.cast("int"), "span_end": span_end.cast("int")})
         .filter("span_start <= span_end")
         .withColumn("bucket", F.explode(F.sequence(_bucket("span_start", bucket), _bucket("span_end", bucket))))
+        .withMetadata("bucket", {"bucket": bucket, "tolerance": tolerance, "first": first, "last": last})
     )
 
 
-def join_spans(observed: DataFrame, spans: DataFrame, on: Sequence[str], time: str, bucket: int) -> DataFrame:
+def made_under(spans: DataFrame) -> dict[str, int]:
+    """bucket, tolerance, first and last that spans were made under."""
+    return spans.schema["bucket"].metadata
+
+
+def join_spans(observed: DataFrame, spans: DataFrame, on: Sequence[str], time: str) -> DataFrame:
     """Observed rows with the planned row whose span holds their time; rows without one are dropped."""
-    o, s = observed.withColumn("bucket", _bucket(time, bucket)).alias("o"), spans.alias("s")
+    o = observed.withColumn("bucket", _bucket(time, made_under(spans)["bucket"])).alias("o")
+    s = spans.alias("s")
     same_cell = [F.col(f"o.{c}") == F.col(f"s.{c}") for c in (*on, "bucket")]
     within = F.col(f"o.{time}").between(F.col("s.span_start"), F.col("s.span_end"))
     hidden = {*on, "bucket", "span_start", "span_end"}
@@ -96,7 +104,7 @@ def nearest_match(
 ) -> DataFrame:
     """The join described above, for whole-number times. Observed times must lie in ``first..last``."""
     spans = winning_spans(planned, on, planned_time, planned_tie, tolerance, first, last, bucket)
-    return join_spans(observed, spans, on, observed_time, bucket)
+    return join_spans(observed, spans, on, observed_time)
 
 
 def nearest_match_windowed(

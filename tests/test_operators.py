@@ -212,6 +212,23 @@ def test_collapsed_whitespace_changes_the_match(spark):
     assert len(judged(spark, observed, planned, MatchConfig(collapse_whitespace=True)).values()) == 1
 
 
+def test_stored_spans_carry_their_parameters(spark, tmp_path):
+    path = str(tmp_path / "spans")
+    made = MatchConfig(tolerance_seconds=600, bucket_seconds=77)
+    matching.departure_spans(schedule(spark, "10:00:00"), made).write.parquet(path)
+    observed, spans = passages(spark, ("a", 36_300, None, None)), spark.read.parquet(path)
+    # The bucket width of the config does not matter, that of the spans does.
+    assert matching.match_to_spans(observed, spans, MatchConfig(tolerance_seconds=600)).count() == 1
+    others = (
+        MatchConfig(),
+        MatchConfig(tolerance_seconds=600, rollover_hour=3),
+        MatchConfig(tolerance_seconds=600, collapse_whitespace=True),
+    )
+    for other in others:
+        with pytest.raises(ValueError, match="another"):
+            matching.match_to_spans(observed, spans, other)
+
+
 def test_scan_filters_are_pushed(spark, tmp_path):
     passages(spark, ("a", 36_000, None, None)).write.parquet(str(tmp_path / "p"))
     schedule(spark, "10:00:00").write.parquet(str(tmp_path / "s"))
