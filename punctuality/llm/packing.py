@@ -136,7 +136,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = 8192)
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["row_key", "piece"], kind="stable", ignore_index=True)
         bins, offsets = best_two_fit(group["length"].to_numpy(), capacity)
-        return group.assign(sequence_id=(group["pack_group"] << 32) + bins, offset=offsets)[["row_key", "piece", "sequence_id", "offset"]]
+        return group.assign(sequence_id=group["pack_group"] * 2**32 + bins, offset=offsets)[["row_key", "piece", "sequence_id", "offset"]]
 
     slim = dealt.select("row_key", "piece", "length", "pack_group")
     placed = slim.groupBy("pack_group").applyInPandas(run, "row_key long, piece long, sequence_id long, offset long")
