@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, chat, packing, quality, substring
+from punctuality.llm import bpe, chat, minhash, packing, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), vocabulary())
 
 
+@query
+def op6_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir), minhash.Similarity(shingle=3, percent=85))
+
+
 @query
 def op9_line_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.measured(documents(spark, sf_dir).select("doc_id", "text"))
