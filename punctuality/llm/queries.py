@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, chat, embeddings, minhash, packing, quality, substring
+from punctuality.llm import bpe, chat, embeddings, minhash, packing, pii, quality, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -60,6 +60,12 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), vocabulary())
 
 
+@query
+def op4_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.detect(docs, pii.fitted(docs)).drop("redacted")
+
+
 @query
 def op5_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
