@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, chat, embeddings, minhash, packing, pii, quality, substring
+from punctuality.llm import bpe, chat, embeddings, minhash, packing, pii, quality, substring, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,15 @@ def op6_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), minhash.Similarity(shingle=3, percent=85))
 
 
+@query
+def op8_folded_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = lambda: F.crc32(F.col("doc_id").cast("string")) % 4
+    taught = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold() != 2)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = toxicity.score(docs, toxicity.learned(docs, taught))
+    return found.select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query
 def op9_line_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.measured(documents(spark, sf_dir).select("doc_id", "text"))
