@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, chat, embeddings, minhash, packing, pii, quality, substring, toxicity
+from punctuality.llm import bpe, brown, chat, embeddings, minhash, packing, pii, quality, substring, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,6 +76,16 @@ def op6_b_bit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(documents(spark, sf_dir), minhash.Similarity(shingle=3, percent=85))
 
 
+@query
+def op7_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model, counts = brown.learned(docs.filter(~held_out))
+    found = brown.score(docs, model, counts)
+    train_tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", train_tokens, "base_score", "score")
+
+
 @query
 def op8_folded_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     fold = lambda: F.crc32(F.col("doc_id").cast("string")) % 4
