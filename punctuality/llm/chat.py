@@ -139,7 +139,7 @@ def format_trees(tree: DataFrame, best: int = 1, learned_role: str = LEARNED_ROL
     for r, jump in enumerate(jumps):
         known = jump.filter("up is not null").select("c", "c_null", "node", "up")
         more = spread.join(known, ["c", "c_null", "node"]).select("c", "c_null", "leaf", "rank", F.col("up").alias("node"), (F.col("above") + 2**r).alias("above"))
-        spread = spread.unionByName(more)
+        spread = stored(spread.unionByName(more), "paths")  # else each round would hold the plan before it twice
     said = tree.select(*_key("node"), "conversation", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     turns = spread.join(said, ["c", "c_null", "node"])
     turn = F.struct((-F.col("above")).alias("at"), "node", "role", "text")
