@@ -115,11 +115,12 @@ def branches(tree: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         if state.filter("up is not null").isEmpty():
             return leaves.join(state.drop("up"), ["c", "c_null", "node"]), jumps
         above = state.select("c", "c_null", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("sum").alias("sum2"), F.col("depth").alias("depth2"))
-        state = state.join(above, ["c", "c_null", "up"], "left").select(
+        live, done = state.filter("up is not null"), state.filter("up is null")  # what has met its root is not joined again
+        live = live.join(above, ["c", "c_null", "up"], "left").select(
             "c", "c_null", "node", F.col("up2").alias("up"),
             (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum"), (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
         )
-        state = stored(state, "tree")
+        state = stored(live.unionByName(done), "tree")
         jumps.append(state.select("c", "c_null", "node", "up"))
     raise ValueError(f"a path is longer than 2^{MAX_ROUNDS}, or replies run in a circle")
 
