@@ -1,10 +1,70 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality rules, near duplicates, substring duplicates, personal data, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that the one before kept; all but the last return the columns of
+``docs``, whatever they are. Near duplicates are judged on five-word shingles at a similarity of 0.8.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from punctuality.llm import minhash, packing, pii, quality, substring
+from punctuality.llm.common import scratch_folder
+from punctuality.llm.queries import vocabulary
 
-STAGES = []
+#: SQL cannot express stages 2 to 5 (MinHash components, boosted trees, tokens); they are tested against brute force.
 ORACLE_SQL = None
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that fail go, then documents that lose too much."""
+    return quality.clean(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays: the one with the smallest id, once. Documents without words or id all stay."""
+    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    kept = found.filter("kept and doc_id is not null").select(F.col("doc_id").alias("__kept_id")).distinct()
+    rows = docs.withColumn("__id", F.col("doc_id").cast("long")).join(kept, F.col("__id") == F.col("__kept_id"), "left_semi")
+    unnamed = docs.filter(F.col("doc_id").isNull())
+    return rows.drop("__id").dropDuplicates(["doc_id"]).unionByName(unnamed)
+
+
+def substring_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated passages go; a document without such words keeps its text as it is."""
+    return substring.without_repeats(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each span is replaced by the name of its kind."""
+    return pii.redact(docs, pii.fitted(docs))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens with their place in a sequence."""
+    placed = packing.pack(packing.cut(docs, vocabulary()))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("substring_duplicates", substring_duplicates),
+    ("personal_data", personal_data),
+    ("best_fit_packing", best_fit_packing),
+]
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """All stages over ``documents``, each written as Parquet to the shared folder and read again as the next one's input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{scratch_folder(spark)}/llm-pipeline-{uuid.uuid4().hex}"
+    for number, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{number}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -152,5 +152,7 @@ def measured(docs: DataFrame, rules: LineRules = LineRules(), text_column: str =
 
 def clean(docs: DataFrame, rules: LineRules = LineRules(), text_column: str = "text") -> DataFrame:  # noqa: B008
     """The documents that are kept, with their cleaned text; all other columns as they are."""
-    found = measured(docs, rules, text_column, "__quality_").filter("__quality_kept")
+    found = measured(docs, rules, text_column, "__quality_").withColumn("__quality_row", F.monotonically_increasing_id())
+    # The row number keeps the filter above the measures; pushed below, it would hold all of them many times over.
+    found = found.filter("__quality_kept and __quality_row >= 0")
     return found.withColumn(text_column, F.col("__quality_cleaned")).select(*[F.col(f"`{c}`") for c in docs.columns])

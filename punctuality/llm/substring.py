@@ -20,6 +20,7 @@ group is ever collected. The text itself is shuffled once and reused.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +36,7 @@ WINDOW = 35
 SEED = 10
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 _ODD, _ODD2 = int(_A) | 1, int(_B) | 1
+WORDS = re.compile("[^\x20\x09-\x0d]+")
 #: Kinds of blocks after the index was asked.
 WHOLE, MIXED = 1, 2
 
@@ -235,3 +237,42 @@ def deduplicate(docs: DataFrame, window: int = WINDOW, seed: int = SEED, id_colu
     return repeats(rows, window, seed).mapInArrow(
         run, f"`{id_column}` {_id_type(rows)}, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
+
+
+def without_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, text_column: str = "text") -> DataFrame:
+    """``docs`` with all its columns, and without the words that ``deduplicate`` removes.
+
+    What stands between two removed runs stays as it is, white space included; texts without a repeat, null and empty
+    ones do not change.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, 0):
+            changed = []
+            runs, size, doc = _listed(part.column(2))
+            own = {}
+            for first, n, row in zip(runs.tolist(), size.tolist(), doc.tolist(), strict=True):
+                own.setdefault(row, []).append((first, first + n + window - 1))
+            for row, text in enumerate(part.column(0).to_pylist()):
+                changed.append(_cut_out(text, own[row]) if row in own else text)
+            yield pa.RecordBatch.from_arrays([pa.array(changed, pa.string()), part.column(1)], names=["text", "row_key"])
+
+    keyed = docs.withColumn("__row_key", F.monotonically_increasing_id())
+    rows = keyed.select(F.lit(None).cast("long").alias("id"), F.col(text_column).alias("text"), F.col("__row_key").alias("row_key"))
+    found = repeats(rows, window, seed).filter("covered is not null").select("text", "row_key", "covered")
+    cleaned = found.mapInArrow(run, "text string, row_key long").toDF("__cleaned", "__row_key")
+    joined = keyed.join(cleaned, "__row_key", "left")
+    text = F.coalesce("__cleaned", F.col(text_column))
+    return joined.withColumn(text_column, text).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _cut_out(text: str, spans: list[tuple[int, int]]) -> str:
+    """``text`` without the words of the given spans of word numbers."""
+    words = [m.span() for m in WORDS.finditer(text)]
+    out, at, end_word = [], 0, 0
+    for first, end in sorted(spans):
+        first = max(first, end_word)
+        if end > first:
+            out.append(text[at : words[first][0]])
+            at, end_word = words[end - 1][1], end
+    return "".join([*out, text[at:]])
