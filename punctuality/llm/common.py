@@ -8,7 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Characters that part words in every operator of this package: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -35,9 +36,11 @@ def stored(rows: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
-def texts(batch: pa.RecordBatch, column: int = 1) -> list[bytes]:
-    """UTF-8 bytes of a text column; null counts as empty."""
-    return [value or b"" for value in batch.column(column).cast(pa.binary()).to_pylist()]
+def stored_count(rows: DataFrame, purpose: str) -> tuple[DataFrame, int]:
+    """:func:`stored`, and the number of rows as the write itself counted it."""
+    seen = Observation()
+    kept = stored(rows.observe(seen, F.count(F.lit(1)).alias("n")), purpose)
+    return kept, seen.get["n"]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -29,13 +29,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.common import slices, spans_of, split_words, stored
+from punctuality.llm.common import slices, spans_of, split_words, stored, stored_count
 from punctuality.llm.components import components
 
 MISS = 1e-8
 SIGMAS = 5.5
 #: Rounds in which every bucket compares its members with one head, before what is left is compared member by member.
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -190,66 +190,64 @@ def confirmed(pairs: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
 def _label(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
     if labels is None:
         return buckets.withColumn("component", F.col("node"))
-    named = buckets.join(labels, "node", "left")
-    return named.withColumn("component", F.coalesce("component", "node"))
+    return buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def _estimated(pairs: DataFrame, signatures: DataFrame, how: Similarity) -> DataFrame:
-    a, b = (signatures.select(F.col("node").alias(c), F.col("signature").alias(f"signature_{c}")) for c in ("a", "b"))
-    held = pairs.join(a, "a").join(b, "b")
-    return held.filter(agreement("signature_a", "signature_b", how) >= how.least_agreement).select("a", "b")
+def clusters(classes: DataFrame, docs: DataFrame, links: DataFrame, how: Similarity) -> DataFrame:
+    """``(node, component)`` of the classes that are linked, by similarity or by the given ``links(a, b)``.
 
-
-def clusters(classes: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
-    """``(node, component)`` of the classes that are linked. ``classes`` has node, bands and signature, docs node and text."""
-    keyed = classes.select("node", F.explode("bands").alias("band"))
+    ``classes`` has node, bands and signature, ``docs`` node and text.
+    """
+    keyed = classes.select("node", "signature", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     buckets = stored(keyed.join(shared, "band"), "buckets")
-    used = buckets.select("node").distinct()
-    signatures = stored(classes.select("node", "signature").join(used, "node", "left_semi"), "signatures")
-    labels, links, tried = None, None, None
+    links, count = stored_count(links, "links")
+    labels = stored(components(links), "labels") if count else None
     for turn in range(STAR_ROUNDS + 1):
-        members = stored(_label(buckets, labels), "members")
-        mixed = members.groupBy("band").agg(
-            F.min_by(F.struct("node", "component"), F.struct(F.xxhash64("node", F.lit(turn)) if turn else F.lit(0).cast("long"), "node")).alias("head"),
-            F.min("component").alias("lo"), F.max("component").alias("hi"),
-        ).filter("lo <> hi")
+        members = _label(buckets, labels)
         if turn < STAR_ROUNDS:
-            stars = members.join(mixed.select("band", "head"), "band").filter("component <> head.component")
-            pairs = stars.select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
-            pairs = _estimated(pairs, signatures, how)
+            pairs = _stars(members, turn, how)
         else:
-            pairs = _apart(members, mixed, signatures, how)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        if pairs.isEmpty():
-            if turn < STAR_ROUNDS:
-                continue
-            break
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        found = stored(confirmed(pairs, docs, how), "links")
-        if found.isEmpty():
+            pairs = _apart(stored(members, "members"), classes, how)
+        pairs, count = stored_count(pairs, "pairs")
+        if not count:
             continue
-        links = found if links is None else links.unionByName(found)
-        labels = stored(components(links), "labels")
+        found, count = stored_count(confirmed(pairs, docs, how), "links")
+        if count:
+            links = links.unionByName(found)
+            labels = stored(components(links), "labels")
     return labels if labels is not None else classes.select("node", F.col("node").alias("component")).limit(0)
 
 
-def _apart(members: DataFrame, mixed: DataFrame, signatures: DataFrame, how: Similarity) -> DataFrame:
+def _stars(members: DataFrame, turn: int, how: Similarity) -> DataFrame:
+    """Pairs of each bucket's head and its members of other components that the estimate passes."""
+    order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+    facts = F.min_by(F.struct("node", "component", "signature"), F.struct(order, "node")).alias("head")
+    heads = members.groupBy("band").agg(facts, F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
+    heads = heads.select("band", F.col("head.node").alias("a"), F.col("head.component").alias("ca"), F.col("head.signature").alias("signature_a"))
+    apart = (members["component"] != heads["ca"]) & (agreement("signature_a", "signature", how) >= how.least_agreement)
+    return members.join(heads, (members["band"] == heads["band"]) & apart).select("a", F.col("node").alias("b")).distinct()
+
+
+def _apart(members: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
     """Pairs of one bucket and different components: one of each pair lies outside the bucket's largest component.
 
-    The estimate is part of the join, which gives only the pairs that pass it.
+    The estimate is part of the join, and a pair comes from the first band that it shares: each pair is made once.
     """
-    left = members.join(mixed.select("band"), "band")
-    sizes = left.groupBy("band", "component").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    held = left.join(main, "band").join(signatures, "node")
-    a = held.filter("component <> main").select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("signature").alias("signature_a"))
-    b = held.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), "main", F.col("signature").alias("signature_b"))
+    sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
+    held = members.join(main.filter("parts > 1"), "band").join(classes.select("node", "bands"), "node")
+    a = held.filter("component <> main").select(
+        "band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("signature").alias("signature_a"), F.col("bands").alias("bands_a")
+    )
+    b = held.select(
+        F.col("band").alias("band_b"), F.col("node").alias("b"), F.col("component").alias("cb"), "main",
+        F.col("signature").alias("signature_b"), F.col("bands").alias("bands_b"),
+    )
     apart = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
     near = agreement("signature_a", "signature_b", how) >= how.least_agreement
-    return a.alias("l").join(b.alias("r"), (F.col("l.band") == F.col("r.band")) & apart & near).select("a", "b").distinct()
+    first = F.get(F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
+    return a.join(b, (F.col("band") == F.col("band_b")) & apart & near & (first == F.col("band"))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:  # noqa: B008
@@ -264,17 +262,15 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     held = stored(digests(rows, how, "node"), "digests")
     real = held.filter("node is not null and set1 is not null")
     first = real.groupBy("set1", "set2").agg(F.min("node").alias("class"))
-    copies = stored(real.select("node", "set1", "set2").join(first, ["set1", "set2"]).select("node", "class"), "classes")
-    classes = real.join(first, (real["set1"] == first["set1"]) & (real["set2"] == first["set2"]) & (real["node"] == first["class"]))
-    labels = clusters(stored(classes.select("node", "bands", "signature"), "heads"), rows, how)
-    same = copies.filter("node <> class").select(F.col("node").alias("a"), F.col("class").alias("b"))
-    final = _joined(same, labels)
+    named = real.join(first, ["set1", "set2"])
+    head = F.col("node") == F.col("class")
+    named = stored(named.select("node", "class", F.when(head, F.col("bands")).alias("bands"), F.when(head, F.col("signature")).alias("signature")), "classes")
+    several = named.groupBy("node").agg(F.min("class").alias("b"), F.max("class").alias("most")).filter("b <> most")
+    links = named.join(several, "node").select(F.col("class").alias("a"), "b").filter("a <> b")
+    classes = named.filter("bands is not null").dropDuplicates(["node", "bands"]).select("node", "bands", "signature")
+    labels = clusters(classes, rows, links, how).withColumnRenamed("node", "class")
+    final = named.select("node", "class").join(labels, "class", "left")
+    final = final.groupBy("node").agg(F.min(F.coalesce("component", "class")).alias("component"))
     whole = held.select("node", "n_shingles").join(final, "node", "left")
     component = F.coalesce("component", "node")
     return whole.select(F.col("node").alias(id_column), "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("node"), F.lit(True)).alias("kept"))
-
-
-def _joined(same: DataFrame, labels: DataFrame) -> DataFrame:
-    """Components of links between classes and of copies with their class."""
-    edges = same.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-    return components(edges)
