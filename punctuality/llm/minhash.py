@@ -6,8 +6,9 @@
 2. **Classes.** Documents with one shingle set are one class; only its smallest id goes on.
 3. **Candidates.** Classes that share a band key form a bucket. A bucket's members are compared with one head, never all
    with each other; components of the confirmed links are merged; and only members of different components are
-   compared again, with another head. What then still lies apart in a bucket is compared with the members outside its
-   largest component, so no link between different components is missed.
+   compared again, with another head. What then still lies apart in a bucket is compared with its members of other
+   components, so no link between different components is missed; shingles that nobody else has bound the similarity
+   from above and rule out most of these pairs.
 4. **Estimate.** The packed signatures of a pair are compared by bit counts. With two bits, unequal minima agree by chance in
    a quarter of the places; the corrected estimate rejects a pair only where it lies ``SIGMAS`` deviations below the
    threshold.
@@ -196,11 +197,12 @@ def _label(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
 def clusters(classes: DataFrame, docs: DataFrame, links: DataFrame, how: Similarity) -> DataFrame:
     """``(node, component)`` of the classes that are linked, by similarity or by the given ``links(a, b)``.
 
-    ``classes`` has node, bands and signature, ``docs`` node and text.
+    ``classes`` has node, size, bands and signature, ``docs`` node and text.
     """
     keyed = classes.select("node", "signature", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
     buckets = stored(keyed.join(shared, "band"), "buckets")
+    docs = stored(docs.join(buckets.select("node").distinct(), "node").select("node", "text"), "texts")
     links, count = stored_count(links, "links")
     labels = stored(components(links), "labels") if count else None
     for turn in range(STAR_ROUNDS + 1):
@@ -208,7 +210,7 @@ def clusters(classes: DataFrame, docs: DataFrame, links: DataFrame, how: Similar
         if turn < STAR_ROUNDS:
             pairs = _stars(members, turn, how)
         else:
-            pairs = _apart(stored(members, "members"), classes, how)
+            pairs = _apart(stored(members, "members"), classes, docs, how)
         pairs, count = stored_count(pairs, "pairs")
         if not count:
             continue
@@ -229,25 +231,49 @@ def _stars(members: DataFrame, turn: int, how: Similarity) -> DataFrame:
     return members.join(heads, (members["band"] == heads["band"]) & apart).select("a", F.col("node").alias("b")).distinct()
 
 
-def _apart(members: DataFrame, classes: DataFrame, how: Similarity) -> DataFrame:
+def unshared(docs: DataFrame, how: Similarity) -> DataFrame:
+    """``(node, unshared)``: shingles of ``docs(node, text)`` that no other node of ``docs`` has, where there are any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            hashed, sizes = shingle_sets(part, how.shingle)
+            owner = part.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes)))
+            yield pa.RecordBatch.from_arrays([owner, pa.array(hashed.view(np.int64))], names=["node", "shingle"])
+
+    rows = docs.select("node", "text").mapInArrow(run, "node long, shingle long")
+    seen = rows.groupBy("shingle").agg(F.min("node").alias("node"), F.max("node").alias("last"))
+    return seen.filter("node = last").groupBy("node").agg(F.count("*").alias("unshared"))
+
+
+def _apart(members: DataFrame, classes: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     """Pairs of one bucket and different components: one of each pair lies outside the bucket's largest component.
 
-    The estimate is part of the join, and a pair comes from the first band that it shares: each pair is made once.
+    Two tests are part of the join. A set can share at most what others have too, so its unshared shingles bound the
+    similarity from above; in a large group of ever more different copies this leaves few pairs. Then the estimate. A
+    pair comes from the first band that it shares, so each is made once.
     """
     sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-    held = members.join(main.filter("parts > 1"), "band").join(classes.select("node", "bands"), "node")
-    a = held.filter("component <> main").select(
-        "band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("signature").alias("signature_a"), F.col("bands").alias("bands_a")
-    )
-    b = held.select(
-        F.col("band").alias("band_b"), F.col("node").alias("b"), F.col("component").alias("cb"), "main",
-        F.col("signature").alias("signature_b"), F.col("bands").alias("bands_b"),
-    )
-    apart = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+    held = stored(members.join(main.filter("parts > 1"), "band"), "apart")
+    nodes = held.select("node").distinct()
+    alone = unshared(docs.join(nodes, "node", "left_semi"), how)
+    mine = classes.join(nodes, "node", "left_semi")
+    several = mine.groupBy("node").agg(F.count("*").alias("texts")).filter("texts > 1")  # the bound is of one text
+    facts = mine.join(alone, "node", "left").join(several, "node", "left")
+    lost = F.when(F.col("texts").isNull(), F.coalesce("unshared", F.lit(0))).otherwise(0)
+    common = (F.col("size") - lost).alias("common")
+    held = held.join(facts.select("node", "bands", "size", common), "node")
+    able = F.col("common") * 100 >= how.percent * F.col("size")
+    names = ("node", "component", "signature", "bands", "size", "common")
+    a, b = (held.filter(able).select(F.col("band").alias(f"band_{x}"), "main", *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
+    a = a.filter("component_a <> main").drop("main")
+    apart = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
+    most = F.least("common_a", "common_b")
+    possible = most * 100 >= how.percent * (F.col("size_a") + F.col("size_b") - most)
     near = agreement("signature_a", "signature_b", how) >= how.least_agreement
     first = F.get(F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
-    return a.join(b, (F.col("band") == F.col("band_b")) & apart & near & (first == F.col("band"))).select("a", "b")
+    met = a.join(b, (F.col("band_a") == F.col("band_b")) & apart & possible & near & (first == F.col("band_a")))
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column: str = "doc_id", text_column: str = "text") -> DataFrame:  # noqa: B008
@@ -264,10 +290,10 @@ def near_duplicates(docs: DataFrame, how: Similarity = Similarity(), id_column:
     first = real.groupBy("set1", "set2").agg(F.min("node").alias("class"))
     named = real.join(first, ["set1", "set2"])
     head = F.col("node") == F.col("class")
-    named = stored(named.select("node", "class", F.when(head, F.col("bands")).alias("bands"), F.when(head, F.col("signature")).alias("signature")), "classes")
+    named = stored(named.select("node", "class", F.col("n_shingles").alias("size"), F.when(head, F.col("bands")).alias("bands"), F.when(head, F.col("signature")).alias("signature")), "classes")
     several = named.groupBy("node").agg(F.min("class").alias("b"), F.max("class").alias("most")).filter("b <> most")
     links = named.join(several, "node").select(F.col("class").alias("a"), "b").filter("a <> b")
-    classes = named.filter("bands is not null").dropDuplicates(["node", "bands"]).select("node", "bands", "signature")
+    classes = named.filter("bands is not null").dropDuplicates(["node", "bands"]).select("node", "size", "bands", "signature")
     labels = clusters(classes, rows, links, how).withColumnRenamed("node", "class")
     final = named.select("node", "class").join(labels, "class", "left")
     final = final.groupBy("node").agg(F.min(F.coalesce("component", "class")).alias("component"))
