@@ -14,7 +14,7 @@ from punctuality.config import MatchConfig
 from punctuality.plans import pipeline
 from punctuality.schemas import FEED_COLUMNS
 from punctuality.sources.sinks import clean_feed
-from punctuality.streaming import match_arrivals
+from punctuality.streaming import FILES_PER_BATCH, match_arrivals
 
 STAGES = ("schedule", "passages", "match", "indicators", "exports")
 EXTRA = ("clean", "catalog", "stream")
@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tolerance-seconds", type=int, default=MatchConfig.tolerance_seconds)
     parser.add_argument("--delay-threshold-minutes", type=float, default=MatchConfig.delay_threshold_minutes)
     parser.add_argument("--collapse-whitespace", action="store_true", help="match stop names across runs of spaces")
+    parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="snapshot files in a micro-batch")
     parser.add_argument("--database", default="punctuality", help="database of the catalog stage")
     parser.add_argument("--prefix", default="main", help="table prefix of the catalog stage")
     return parser.parse_args(argv)
@@ -48,7 +49,7 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
 
     def stream() -> None:
         match_arrivals(
-            spark, at["snapshots"], at["spans"], at["arrivals"], at["arrivals_state"], config
+            spark, at["snapshots"], at["spans"], at["arrivals"], at["arrivals_state"], config, asked.files_per_batch
         ).awaitTermination()
 
     def clean() -> None:

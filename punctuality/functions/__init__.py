@@ -1,6 +1,6 @@
 """Column functions. All are built-in expressions, so they stay inside whole-stage code generation."""
 
-from punctuality.functions.clock import clock_seconds, instant, service_day_seconds
+from punctuality.functions.clock import clock_seconds, instant, service_date, service_day_seconds
 from punctuality.functions.figures import mean_minutes, part_of_total_pct, rate_pct
 from punctuality.functions.text import (
     leading_value,
@@ -25,6 +25,7 @@ __all__ = [
     "reason",
     "reason_title",
     "report_code",
+    "service_date",
     "service_day_seconds",
     "stop_key",
     "unreported",

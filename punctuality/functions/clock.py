@@ -27,6 +27,15 @@ def instant(text: Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+def service_date(ts: Column, rollover_hour: int, time_zone: str | None = None) -> Column:
+    """The service day ``ts`` belongs to: hours before the rollover hour count to the day before. Zones as in
+    :func:`service_day_seconds`."""
+    if time_zone is None:
+        return F.date_sub(F.to_date(ts), F.when(F.hour(ts) < rollover_hour, 1).otherwise(0))
+    local = F.unix_seconds(F.from_utc_timestamp(ts, time_zone)) - rollover_hour * 3_600
+    return F.date_from_unix_date(F.floor(local / DAY_SECONDS).cast("int"))
+
+
 def service_day_seconds(ts: Column, rollover_hour: int, time_zone: str | None = None) -> Column:
     """Clock seconds of ``ts`` within the service day; times before the rollover hour count past midnight.
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from punctuality.functions import cancelled
+
 # Fixed value: form of a snapshot file name, made of the monitoring reference and the collection time.
 FILE_NAME_PATTERN = r"^snapshot_(.*)_(\d{8}_\d{6})\.json$"
 FILE_TIME_FORMAT = "yyyyMMdd_HHmmss"
@@ -13,6 +15,8 @@ FILE_TIME_FORMAT = "yyyyMMdd_HHmmss"
 def audit_snapshots(documents: DataFrame) -> DataFrame:
     """One row per snapshot document: reference and time from its name, visits, usable visits, time range.
 
+    ``cancelled_without_time`` counts cancelled visits that the match drops because they have no expected time.
+
     ``nb_passages`` counts the first delivery, as the collector does; ``visits`` counts all of them. A document is
     one row already, so nothing is exploded or shuffled.
     """
@@ -27,6 +31,11 @@ def audit_snapshots(documents: DataFrame) -> DataFrame:
         named = F.get(names, F.lit(0))["value"].isNotNull()
         return visit["MonitoringRef"]["value"].isNotNull() & named
 
+    def untimed(visit: Column) -> Column:
+        call = visit["MonitoredVehicleJourney"]["MonitoredCall"]
+        gone = cancelled(call["DepartureStatus"], call["ArrivalStatus"])
+        return F.coalesce(gone, F.lit(False)) & call["ExpectedDepartureTime"].isNull()
+
     recorded = F.transform(F.col("all_visits"), lambda visit: visit["RecordedAtTime"])
     return documents.select("source_file", visits.alias("all_visits"), listed.alias("listed")).select(
         "source_file",
@@ -40,6 +49,7 @@ def audit_snapshots(documents: DataFrame) -> DataFrame:
         F.coalesce(F.array_size(F.get("listed", F.lit(0))), F.lit(0)).alias("nb_passages"),
         F.array_size("all_visits").alias("visits"),
         F.array_size(F.filter("all_visits", usable)).alias("usable_visits"),
+        F.array_size(F.filter("all_visits", untimed)).alias("cancelled_without_time"),
         F.array_min(recorded).alias("first_recorded_at"),
         F.array_max(recorded).alias("last_recorded_at"),
     )

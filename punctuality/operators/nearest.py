@@ -75,7 +75,10 @@ def winning_spans(
 
 def made_under(spans: DataFrame) -> dict[str, int]:
     """bucket, tolerance, first and last that spans were made under."""
-    return spans.schema["bucket"].metadata
+    found = spans.schema["bucket"].metadata
+    if "bucket" not in found:
+        raise ValueError("the spans have lost their parameters: read them as Parquet files, not by a table or a stated schema")
+    return found
 
 
 def join_spans(observed: DataFrame, spans: DataFrame, on: Sequence[str], time: str) -> DataFrame:

@@ -1,8 +1,9 @@
 """The test tables in the shape of feed tables, passages and snapshot documents.
 
 Every row of the tables used takes part. Rows that should miss a join get a key of their own instead of being left
-out, so each branch of the operators is met: unknown routes and stops, malformed times, missing expected times,
-every status, and observations reported twice.
+out, so each branch of the operators is met: unknown routes and stops, quoted names, malformed times, missing
+references, stops, lines and expected times, unreadable instants, every status, and observations reported twice. An
+observation's stop comes from the whole table of stops.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from punctuality.operators.passages import build_passages
 from punctuality.schemas import FEED_COLUMNS
-from punctuality.sources import snapshots
+from punctuality.plans.files import write_files
 from punctuality.sources.scratch import new_folder
 
 # Events per snapshot document. Documents stay small however large the table is; their number grows instead.
@@ -35,7 +36,8 @@ TRIPS = """
 
 STOPS = """
     SELECT CASE WHEN p_partkey % 50 = 0 THEN 'closed-' ELSE '' END || p_partkey AS stop_id,
-           CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' ELSE replace(p_name, ' ', '-') END AS stop_name
+           CASE WHEN p_partkey % 11 = 3 THEN chr(34) || p_name || chr(34) || ', quai ' || chr(92) || ' 2'
+                WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' ELSE replace(p_name, ' ', '-') END AS stop_name
     FROM {part}
 """
 
@@ -53,20 +55,20 @@ STOP_TIMES = """
 
 # One visit per event, and a second report of every fiftieth observation: another vehicle on the same line.
 VISITS = """
-    SELECT 'snapshot_REF_StopPoint_Q_' || (document % 200) || '__'
-               || (20240101 + document div 86400) || '_'
+    SELECT 'snapshot_REF_StopPoint_Q_' || document || '__'
+               || date_format(date_add(DATE '2024-01-01', CAST(document div 86400 AS INT)), 'yyyyMMdd') || '_'
                || lpad(CAST(document div 3600 % 24 AS STRING), 2, '0')
                || lpad(CAST(document div 60 % 60 AS STRING), 2, '0')
                || lpad(CAST(document % 60 AS STRING), 2, '0') || '.json' AS source_file,
            document,
            date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") AS recorded_at_time,
-           'REF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
-           CASE WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
+           CASE WHEN event_id % 83 <> 5 THEN 'REF:StopPoint:Q:' || stop_number || ':' END AS monitoring_ref,
+           CASE WHEN event_id % 61 = 7 THEN NULL WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
                || CASE WHEN line < 20 THEN 'REF:Line::C' || lpad(CAST(line + 1 AS STRING), 5, '0') || ':'
                        ELSE 'NATION_' || line END
                || CASE WHEN report = 1 AND event_id % 100 <> 1 THEN 'bis' ELSE '' END AS line_ref,
-           p_name AS stop_point_name,
-           CASE WHEN event_id % 40 = 0 THEN NULL
+           CASE WHEN event_id % 71 <> 3 THEN p_name END AS stop_point_name,
+           CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 43 = 9 THEN 'soon'
                 ELSE date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") END AS expected_departure_time,
            CASE WHEN report = 1 THEN CASE WHEN event_id % 100 = 1 THEN 'Cancelled' ELSE 'noReport' END
                 WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'Cancelled' ELSE 'onTime' END
@@ -79,9 +81,10 @@ VISITS = """
                 WHEN event_type = 'click' THEN NULL
                 ELSE 'onTime' END AS arrival_status
     FROM (SELECT event_id, event_type, ts, user_id % 25 AS line, event_id div {size} AS document,
+                 event_id % (SELECT count(*) FROM {part}) AS stop_number,
                  explode(CASE WHEN event_id % 50 = 1 THEN array(0, 1) ELSE array(0) END) AS report
           FROM {events})
-    LEFT JOIN {part} ON p_partkey = event_id % 200
+    LEFT JOIN {part} ON p_partkey = stop_number
 """
 
 
@@ -158,5 +161,34 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_folder(spark: SparkSession, sf_dir: str) -> str:
     """Write the documents as snapshot files into a new folder."""
     folder = new_folder(spark, "snapshots")
-    snapshots.write_snapshots(documents(spark, sf_dir), folder)
+    write_files(documents(spark, sf_dir), folder)
     return folder
+
+
+def report_files(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Write the collector's reports beside the snapshots, a file for every fifty documents.
+
+    Every fifth document has no report; besides, some reports are of failed collections or of files that are lost.
+    """
+    held = visits(spark, sf_dir).groupBy("source_file", "document").agg(F.count(F.lit(1)).alias("visits"))
+    number = F.col("document").cast("string")
+    entry = lambda file, code, ok, error, n: F.struct(
+        file.cast("string").alias("snapshot_file"),
+        F.lit(code).alias("status_code"),
+        F.lit(ok).alias("ok"),
+        F.lit(error).cast("string").alias("error"),
+        n.cast("int").alias("nb_passages"),
+    )
+    told = F.filter(
+        F.array(
+            F.when(F.col("document") % 5 != 1, entry(F.col("source_file"), 200, True, None, F.col("visits"))),
+            F.when(F.col("document") % 6 == 2, entry(F.lit(None), 503, False, "HTTP 503", F.lit(0))),
+            F.when(F.col("document") % 7 == 4, entry(F.concat(F.lit("snapshot_lost_"), number, F.lit(".json")), 200, True, None, F.lit(0))),
+        ),
+        lambda x: x.isNotNull(),
+    )
+    batch = F.floor(F.col("document") / 50)
+    listed = held.groupBy(batch.alias("batch")).agg(F.flatten(F.collect_list(told)).alias("entries"))
+    stamp = F.lpad(F.col("batch").cast("string"), 8, "0")
+    name = F.concat(F.lit("collection_report_"), stamp, F.lit("_000000.json"))
+    write_files(listed.select(name.alias("source_file"), F.to_json("entries").alias("document")), folder)

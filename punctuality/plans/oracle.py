@@ -22,7 +22,8 @@ trips AS (
     FROM orders),
 stops AS (
     SELECT CASE WHEN p_partkey % 50 = 0 THEN 'closed-' ELSE '' END || p_partkey AS stop_id,
-           CASE WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' ELSE replace(p_name, ' ', '-') END AS stop_name
+           CASE WHEN p_partkey % 11 = 3 THEN chr(34) || p_name || chr(34) || ', quai ' || chr(92) || ' 2'
+                WHEN p_partkey % 2 = 0 THEN upper(p_name) || ' ' ELSE replace(p_name, ' ', '-') END AS stop_name
     FROM part),
 stop_times AS (
     SELECT CAST(l_orderkey AS VARCHAR) AS trip_id,
@@ -35,19 +36,20 @@ stop_times AS (
                  (l_orderkey * 37 + l_partkey * 7919 + l_linenumber * 3571) % 79200 + 14400 AS s
           FROM lineitem)),
 visits AS (
-    SELECT 'snapshot_REF_StopPoint_Q_' || (document % 200) || '__' || (20240101 + document // 86400) || '_'
+    SELECT 'snapshot_REF_StopPoint_Q_' || document || '__'
+               || strftime(DATE '2024-01-01' + CAST(document // 86400 AS INTEGER), '%Y%m%d') || '_'
                || lpad(CAST(document // 3600 % 24 AS VARCHAR), 2, '0')
                || lpad(CAST(document // 60 % 60 AS VARCHAR), 2, '0')
                || lpad(CAST(document % 60 AS VARCHAR), 2, '0') || '.json' AS source_file,
            document,
            strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS recorded_at_time,
-           'REF:StopPoint:Q:' || (event_id % 200) || ':' AS monitoring_ref,
-           CASE WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
+           CASE WHEN event_id % 83 <> 5 THEN 'REF:StopPoint:Q:' || stop_number || ':' END AS monitoring_ref,
+           CASE WHEN event_id % 61 = 7 THEN NULL WHEN report = 1 AND event_id % 100 = 1 THEN 'ALT:' ELSE '' END
                || CASE WHEN line < 20 THEN 'REF:Line::C' || lpad(CAST(line + 1 AS VARCHAR), 5, '0') || ':'
                        ELSE 'NATION_' || line END
                || CASE WHEN report = 1 AND event_id % 100 <> 1 THEN 'bis' ELSE '' END AS line_ref,
-           p_name AS stop_point_name,
-           CASE WHEN event_id % 40 = 0 THEN NULL
+           CASE WHEN event_id % 71 <> 3 THEN p_name END AS stop_point_name,
+           CASE WHEN event_id % 40 = 0 THEN NULL WHEN event_id % 43 = 9 THEN 'soon'
                 ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS expected_departure_time,
            CASE WHEN report = 1 THEN CASE WHEN event_id % 100 = 1 THEN 'Cancelled' ELSE 'noReport' END
                 WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'Cancelled' ELSE 'onTime' END
@@ -60,9 +62,10 @@ visits AS (
                 WHEN event_type = 'click' THEN NULL
                 ELSE 'onTime' END AS arrival_status
     FROM (SELECT event_id, event_type, ts, user_id % 25 AS line, event_id // {EVENTS_PER_DOCUMENT} AS document,
+                 event_id % (SELECT count(*) FROM part) AS stop_number,
                  unnest(CASE WHEN event_id % 50 = 1 THEN [0, 1] ELSE [0] END) AS report
           FROM events)
-    LEFT JOIN part ON p_partkey = event_id % 200)
+    LEFT JOIN part ON p_partkey = stop_number)
 """
 
 CODE = "CASE WHEN regexp_matches({ref}, 'C[0-9]+') THEN regexp_extract({ref}, 'C[0-9]+') ELSE {other} END"
@@ -109,8 +112,8 @@ planned AS (
 PASSAGES = f"""
 passages AS (
     SELECT *, {CODE.format(ref="line_ref", other="line_ref")} AS line_code,
-           CAST(recorded_at_time AS TIMESTAMP) AS recorded_at_ts,
-           CAST(expected_departure_time AS TIMESTAMP) AS expected_departure_ts
+           TRY_CAST(recorded_at_time AS TIMESTAMP) AS recorded_at_ts,
+           TRY_CAST(expected_departure_time AS TIMESTAMP) AS expected_departure_ts
     FROM visits
     WHERE monitoring_ref IS NOT NULL AND stop_point_name IS NOT NULL),
 placed AS (
@@ -258,9 +261,9 @@ ORACLE: dict[str, str] = {
         [TABLES],
         f"""
         SELECT source_file, recorded_at_time,
-               {DAY_SECONDS.format(ts="CAST(recorded_at_time AS TIMESTAMP)")} AS recorded_seconds,
+               {DAY_SECONDS.format(ts="TRY_CAST(recorded_at_time AS TIMESTAMP)")} AS recorded_seconds,
                expected_departure_time,
-               {DAY_SECONDS.format(ts="CAST(expected_departure_time AS TIMESTAMP)")} AS expected_seconds
+               {DAY_SECONDS.format(ts="TRY_CAST(expected_departure_time AS TIMESTAMP)")} AS expected_seconds
         FROM visits
         """,
     ),
@@ -283,10 +286,10 @@ ORACLE: dict[str, str] = {
     "candidate_pairs": sql(
         [TABLES, SCHEDULE, PASSAGES],
         """
-        SELECT line_code, count(DISTINCT stop_key) AS stops,
-               CAST(sum(observed_rows) AS BIGINT) AS observed_rows, CAST(sum(planned_rows) AS BIGINT) AS planned_rows,
-               CAST(sum(pairs) AS BIGINT) AS candidate_pairs, CAST(sum(inside) AS BIGINT) AS pairs_in_tolerance,
-               CAST(sum(gap) AS BIGINT) AS gap_seconds
+        SELECT line_code, CAST(count(DISTINCT stop_key) AS VARCHAR) AS stops,
+               CAST(sum(observed_rows) AS VARCHAR) AS observed_rows, CAST(sum(planned_rows) AS VARCHAR) AS planned_rows,
+               CAST(sum(pairs) AS VARCHAR) AS candidate_pairs, CAST(sum(inside) AS VARCHAR) AS pairs_in_tolerance,
+               CAST(sum(gap) AS VARCHAR) AS gap_seconds
         FROM (SELECT line_code, stop_key, count(*) AS pairs,
                      count(*) FILTER (WHERE abs(expected_seconds - planned_seconds) <= 7200) AS inside,
                      sum(abs(expected_seconds - planned_seconds)) AS gap
@@ -342,7 +345,9 @@ ORACLE: dict[str, str] = {
     "parquet_publish": sql(
         VERDICT,
         """
-        SELECT strftime(expected_departure_ts, '%Y-%m-%d') AS service_date, count(*) AS rows,
+        SELECT strftime(expected_departure_ts - INTERVAL 4 HOUR, '%Y-%m-%d') AS service_date, count(*) AS rows,
+               CAST(sum(CAST(round(delay_minutes * 100) AS BIGINT)) AS BIGINT) AS delay_hundredths,
+               CAST(sum(CAST(round(match_gap_minutes * 100) AS BIGINT)) AS BIGINT) AS gap_hundredths,
                (SELECT count(*) FROM matched) AS rows_written
         FROM matched GROUP BY ALL
         """,
@@ -351,12 +356,24 @@ ORACLE: dict[str, str] = {
     "csv_clean": sql([TABLES], "SELECT stop_id, stop_name FROM stops"),
     "catalog_publish": sql(
         [*VERDICT, by_line(), BY_STOP],
-        """
-        SELECT 'matched_observations' AS table_name, count(*) AS rows FROM matched
-        UNION ALL SELECT 'line_performance', count(*) FROM lines
-        UNION ALL SELECT 'stop_performance', count(*) FROM stop_rows
-        UNION ALL SELECT 'disruption_reasons', count(DISTINCT disruption_reason) FROM matched
-        UNION ALL SELECT 'network_overview', 1
+        f"""
+        SELECT 'matched_observations' AS table_name, count(*) AS rows,
+               CAST(sum(CAST(round(match_gap_minutes * 100) AS BIGINT) + CAST(round(delay_minutes * 100) AS BIGINT)) AS BIGINT) AS hundredths
+        FROM matched
+        UNION ALL SELECT 'line_performance', count(*),
+               CAST(sum(observations * 100 + CAST(round(avg_delay_minutes * 100) AS BIGINT)
+                        + CAST(round(delay_rate_pct * 100) AS BIGINT) + CAST(round(disruption_rate_pct * 100) AS BIGINT)) AS BIGINT)
+        FROM lines
+        UNION ALL SELECT 'stop_performance', count(*),
+               CAST(sum(observations * 100 + CAST(round(avg_delay_minutes * 100) AS BIGINT)
+                        + CAST(round(disruption_rate_pct * 100) AS BIGINT)) AS BIGINT)
+        FROM stop_rows
+        UNION ALL SELECT 'disruption_reasons', count(*), CAST(sum(events * 100) AS BIGINT)
+        FROM (SELECT disruption_reason, count(*) AS events FROM matched GROUP BY disruption_reason)
+        UNION ALL SELECT 'network_overview', count(*),
+               CAST(sum(total * 100 + disrupted * 100 + cancelled * 100 + CAST(round(mean * 100) AS BIGINT)) AS BIGINT)
+        FROM (SELECT count(*) AS total, count(*) FILTER (WHERE is_disrupted) AS disrupted,
+                     count(*) FILTER (WHERE is_cancelled) AS cancelled, {MEAN_DELAY} AS mean FROM matched)
         """,
     ),
     "sql_top_lines": sql(
@@ -380,15 +397,44 @@ ORACLE: dict[str, str] = {
     "ingest_audit": sql(
         [TABLES],
         """
-        SELECT source_file, replace('REF_StopPoint_Q_' || (document % 200) || '_', '_', ':') AS monitoring_ref,
+        SELECT source_file, replace('REF_StopPoint_Q_' || document || '_', '_', ':') AS monitoring_ref,
                strftime(strptime(split_part(split_part(source_file, '__', 2), '.', 1), '%Y%m%d_%H%M%S'),
                         '%Y-%m-%d %H:%M:%S') AS collected_at,
                CAST(CASE WHEN document % 7 = 3 THEN 3 ELSE 2 END AS INTEGER) AS deliveries,
                CAST(count(*) AS INTEGER) AS nb_passages, CAST(count(*) AS INTEGER) AS visits,
-               CAST(count(*) FILTER (WHERE stop_point_name IS NOT NULL) AS INTEGER) AS usable_visits,
+               CAST(count(*) FILTER (WHERE stop_point_name IS NOT NULL AND monitoring_ref IS NOT NULL) AS INTEGER)
+                   AS usable_visits,
+               CAST(count(*) FILTER (WHERE expected_departure_time IS NULL
+                                       AND (lower(departure_status) = 'cancelled' OR lower(arrival_status) = 'cancelled'))
+                    AS INTEGER) AS cancelled_without_time,
                min(recorded_at_time) AS first_recorded_at, max(recorded_at_time) AS last_recorded_at
         FROM visits GROUP BY source_file, document
         """,
     ),
+    "collection_audit": sql(
+        [TABLES],
+        """
+        SELECT CASE WHEN kind = 'failed' THEN NULL WHEN kind = 'lost' THEN 'snapshot_lost_' || document || '.json'
+                    ELSE source_file END AS source_file,
+               CASE WHEN kind NOT IN ('failed', 'lost') THEN visits END AS visits,
+               CASE WHEN kind = 'reported' THEN 200 WHEN kind = 'lost' THEN 200 WHEN kind = 'failed' THEN 503 END AS status_code,
+               CASE WHEN kind = 'failed' THEN FALSE WHEN kind <> 'silent' THEN TRUE END AS ok,
+               CASE WHEN kind = 'failed' THEN 'HTTP 503' END AS error,
+               CASE WHEN kind = 'reported' THEN visits WHEN kind IN ('lost', 'failed') THEN 0 END AS reported_passages
+        FROM (SELECT source_file, document, visits, unnest(list_concat(
+                         [CASE WHEN document % 5 = 1 THEN 'silent' ELSE 'reported' END],
+                         CASE WHEN document % 6 = 2 THEN ['failed'] ELSE [] END,
+                         CASE WHEN document % 7 = 4 THEN ['lost'] ELSE [] END)) AS kind
+              FROM (SELECT source_file, document, CAST(count(*) AS INTEGER) AS visits FROM visits GROUP BY ALL))
+        """,
+    ),
+    "zone_seconds": """
+        SELECT event_id, CAST((epoch + shift) % 86400
+                   + CASE WHEN (epoch + shift) % 86400 < 14400 THEN 86400 ELSE 0 END AS INTEGER) AS service_seconds,
+               strftime(DATE '1970-01-01' + CAST((epoch + shift - 14400) // 86400 AS INTEGER), '%Y-%m-%d') AS service_date
+        FROM (SELECT event_id, epoch, CASE WHEN epoch < change THEN winter ELSE winter + 3600 END AS shift
+              FROM (SELECT event_id, 1711800000 + event_id * 997 % 172800 AS epoch, 1711846800 AS change, 3600 AS winter
+                    FROM events))
+    """,
     "stream_ingest_match": MATCHED_ROWS,
 }

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality import schemas
 from punctuality.config import MatchConfig
-from punctuality.functions import instant, line_code, service_day_seconds, stop_key
+from punctuality.functions import instant, line_code, service_date, service_day_seconds, stop_key
 from punctuality.operators import audit, indicators, matching, ranking
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.plans import adapters
+from punctuality.plans.files import write_files
 from punctuality.sources import catalog, sinks, snapshots, tables
 from punctuality.sources.scratch import new_folder
 from punctuality.streaming import match_arrivals, read_matches
@@ -129,7 +132,8 @@ def stop_name_normalize(spark, sf_dir):
 @query
 def candidate_pairs(spark, sf_dir):
     found = matching.candidate_statistics(adapters.passages(spark, sf_dir), _schedule(spark, sf_dir))
-    return found.select("line_code", *[F.col(c).cast("bigint").alias(c) for c in found.columns[1:]])
+    # As text: sums over pairs outgrow 64 bits.
+    return found.select("line_code", *[F.col(c).cast("decimal(38,0)").cast("string").alias(c) for c in found.columns[1:]])
 
 
 @query
@@ -210,7 +214,10 @@ def top_lines_fallback(spark, sf_dir):
 
 @query
 def chart_series(spark, sf_dir):
-    figures = _rollup(spark, sf_dir)
+    """All three rankings from one stored rollup, as the pipeline has it."""
+    path = new_folder(spark, "rollup")
+    sinks.write_parquet(_rollup(spark, sf_dir), path)
+    figures = tables.read_parquet(spark, path)
     return ranking.chart_series(
         ranking.top_lines(indicators.line_performance(figures)),
         ranking.top_stops(indicators.stop_performance(figures)),
@@ -226,16 +233,24 @@ def worst_samples(spark, sf_dir):
 # Sinks and catalog
 
 
+def _hundredths(name: str) -> Column:
+    return F.round(F.col(name) * 100).cast("bigint")
+
+
 @query
 def parquet_publish(spark, sf_dir):
-    """Matched rows partitioned by day, written and read back; both counts per day, and the writer's own count."""
-    day = F.to_date("expected_departure_ts").cast("string")
+    """Matched rows partitioned by service day, written and read back; counts and sums per day, and the writer's count."""
+    day = service_date(F.col("expected_departure_ts"), MatchConfig().rollover_hour).cast("string")
     path = new_folder(spark, "matched")
     written = sinks.write_parquet(_matched(spark, sf_dir).withColumn("service_date", day), path, ["service_date"])
     back = spark.read.schema(f"{schemas.MATCHED}, service_date string").parquet(path)
     return (
         back.groupBy("service_date")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(_hundredths("delay_minutes")).alias("delay_hundredths"),
+            F.sum(_hundredths("match_gap_minutes")).alias("gap_hundredths"),
+        )
         .withColumn("rows_written", F.lit(written).cast("bigint"))
     )
 
@@ -258,7 +273,7 @@ def csv_clean(spark, sf_dir):
     raw, clean = new_folder(spark, "raw-csv"), new_folder(spark, "clean-csv")
     sinks.write_csv(padded, raw)
     sinks.clean_csv(spark, raw, clean)
-    return tables.read_csv(spark, clean, escape='"')
+    return tables.read_csv(spark, clean)
 
 
 def _catalog(spark: SparkSession, sf_dir: str, *wanted: str) -> tuple[str, str]:
@@ -284,18 +299,16 @@ def _catalog(spark: SparkSession, sf_dir: str, *wanted: str) -> tuple[str, str]:
 
 @query
 def catalog_publish(spark, sf_dir):
-    """All five tables published; rows of each managed table."""
+    """All five tables published; rows of each managed table and the sum of all its numbers in hundredths."""
     database, prefix = _catalog(spark, sf_dir, *catalog.TABLES)
-    counts = [
-        spark.table(catalog.managed_table(database, prefix, name))
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(name).alias("table_name"), "rows")
-        for name in catalog.TABLES
-    ]
-    combined = counts[0]
-    for count in counts[1:]:
-        combined = combined.unionByName(count)
-    return combined
+
+    def facts(name: str) -> DataFrame:
+        rows = spark.table(catalog.managed_table(database, prefix, name))
+        numbers = [_hundredths(c) for c, kind in rows.dtypes if kind in ("bigint", "double")]
+        found = rows.agg(F.count(F.lit(1)).alias("rows"), F.sum(reduce(add, numbers)).alias("hundredths"))
+        return found.select(F.lit(name).alias("table_name"), "rows", "hundredths")
+
+    return reduce(DataFrame.unionByName, [facts(name) for name in catalog.TABLES])
 
 
 @query
@@ -324,6 +337,33 @@ def ingest_audit(spark, sf_dir):
     )
 
 
+@query
+def collection_audit(spark, sf_dir):
+    """Audit next to the collector's reports: reported files, files without report, lost files, failed collections."""
+    folder = adapters.snapshot_folder(spark, sf_dir)
+    adapters.report_files(spark, sf_dir, folder)
+    found = audit.audit_snapshots(snapshots.read_snapshots(spark, folder))
+    both = audit.audit_with_reports(found, snapshots.read_collection_reports(spark, folder))
+    return both.select("source_file", "visits", "status_code", "ok", "error", "reported_passages")
+
+
+@query
+def zone_seconds(spark, sf_dir):
+    """Instants with Z and with offsets over a change to summer time, read in a stated zone whatever the session's is."""
+    epoch = F.lit(1_711_800_000) + F.col("event_id") * 997 % 172_800
+    offset = F.element_at(F.array(*map(F.lit, (0, 7_200, -19_800))), (F.col("event_id") % 3 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, ("Z", "+02:00", "-05:30"))), (F.col("event_id") % 3 + 1).cast("int"))
+    local = epoch + offset
+    clock = [F.lpad((local % whole / part).cast("int").cast("string"), 2, "0") for whole, part in ((86_400, 3_600), (3_600, 60), (60, 1))]
+    day = F.date_from_unix_date(F.floor(local / 86_400).cast("int")).cast("string")
+    ts = instant(F.concat(day, F.lit("T"), F.concat_ws(":", *clock), name))
+    return adapters.table(spark, sf_dir, "events").select(
+        "event_id",
+        service_day_seconds(ts, 4, "Europe/Paris").alias("service_seconds"),
+        service_date(ts, 4, "Europe/Paris").cast("string").alias("service_date"),
+    )
+
+
 @query
 def stream_ingest_match(spark, sf_dir):
     """Snapshots that arrive in two drops, matched incrementally."""
@@ -334,6 +374,6 @@ def stream_ingest_match(spark, sf_dir):
     documents = adapters.documents(spark, sf_dir)
     early = F.crc32("source_file") % 2 == 0
     for drop in (early, ~early):
-        snapshots.write_snapshots(documents.filter(drop), arriving)
+        write_files(documents.filter(drop), arriving)
         match_arrivals(spark, arriving, spans, output, checkpoint).awaitTermination()
     return _instants_as_text(read_matches(spark, output).drop("batch_id"))

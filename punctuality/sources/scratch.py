@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,26 +10,14 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. A machine-local one stands in on a local master."""
+    """The folder the cluster names in ``spark.checkpoint.dir``."""
     named = spark.conf.get(SETTING, None)
-    if named:
-        return named.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not named:
         raise ValueError(f"set {SETTING} to a folder that all executors reach")
-    return tempfile.gettempdir()
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
-    """Path of a folder that nothing else uses; it is created by whoever writes to it."""
+    """Path of a folder that nothing else uses; it is created by whoever writes to it, and whoever owns the shared
+    folder clears it."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-
-
-def full_uri(spark: SparkSession, path: str) -> str:
-    """``path`` with the file system Spark resolves it to, for code in tasks that opens files itself."""
-    if "://" in path:
-        return path
-    probe = f"{path}-probe"
-    spark.range(1).coalesce(1).write.mode("overwrite").parquet(probe)
-    resolved = spark.read.parquet(probe).inputFiles()[0]
-    return resolved[: resolved.rindex("-probe/")]

@@ -18,8 +18,12 @@ def keep_present(table: DataFrame, wanted: Sequence[str], required: Collection[s
 
 
 def read_csv(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """CSV with a header row; every column is text, and columns go by name, not by position."""
-    return spark.read.options(header=True, **options).csv(path)
+    """CSV with a header row; every column is text, and columns go by name, not by position.
+
+    A quote inside a quoted field is doubled. A line break inside quotes ends the row unless ``multiLine`` is given,
+    with which a file is read by one task.
+    """
+    return spark.read.options(header=True, **{"escape": '"', **options}).csv(path)
 
 
 def read_feed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:

@@ -1,5 +1,5 @@
 """Incremental runs over snapshots as they arrive."""
 
-from punctuality.streaming.match import match_arrivals, read_matches
+from punctuality.streaming.match import FILES_PER_BATCH, match_arrivals, read_matches
 
-__all__ = ["match_arrivals", "read_matches"]
+__all__ = ["FILES_PER_BATCH", "match_arrivals", "read_matches"]

@@ -11,6 +11,9 @@ from punctuality.operators.matching import judge, match_to_spans
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.sources.snapshots import follow_snapshots
 
+#: Files in one micro-batch; a backlog is worked off in batches of this size.
+FILES_PER_BATCH = 10_000
+
 
 def match_arrivals(
     spark: SparkSession,
@@ -19,7 +22,7 @@ def match_arrivals(
     output: str,
     checkpoint: str,
     config: MatchConfig = MatchConfig(),
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Start a query that matches all snapshot files not seen yet and then stops.
 
