@@ -30,6 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tolerance-seconds", type=int, default=MatchConfig.tolerance_seconds)
     parser.add_argument("--delay-threshold-minutes", type=float, default=MatchConfig.delay_threshold_minutes)
     parser.add_argument("--collapse-whitespace", action="store_true", help="match stop names across runs of spaces")
+    parser.add_argument("--streamed", action="store_true", help="indicators from the batches of the stream stage")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="snapshot files in a micro-batch")
     parser.add_argument("--database", default="punctuality", help="database of the catalog stage")
     parser.add_argument("--prefix", default="main", help="table prefix of the catalog stage")
@@ -61,7 +62,7 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
         "schedule": lambda: pipeline.make_schedule(spark, at, config),
         "passages": lambda: pipeline.make_passages(spark, at),
         "match": lambda: pipeline.make_matches(spark, at, config),
-        "indicators": lambda: pipeline.make_indicators(spark, at),
+        "indicators": lambda: pipeline.make_indicators(spark, at, asked.streamed),
         "exports": lambda: pipeline.export_reports(spark, at),
         "catalog": lambda: pipeline.publish_catalog(spark, at, asked.database, asked.prefix),
         "clean": clean,

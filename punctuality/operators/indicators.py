@@ -17,10 +17,10 @@ ROLLUP_KEY = ("line_code", "route_short_name", "stop_point_name", "disruption_re
 ROLLUP_SUMS = ("observations", "delay_hundredths", "delayed", "disrupted", "cancelled")
 
 
-def rollup(matched: DataFrame) -> DataFrame:
-    """Additive figures per line, stop and reason. Flags that are NULL count as not set."""
+def rollup(matched: DataFrame, *by: str) -> DataFrame:
+    """Additive figures per line, stop and reason, and per ``by``. Flags that are NULL count as not set."""
     hundredths = F.round(F.col("delay_minutes") * 100).cast("bigint")
-    return matched.groupBy(*ROLLUP_KEY).agg(
+    return matched.groupBy(*ROLLUP_KEY, *by).agg(
         F.count(F.lit(1)).alias("observations"),
         F.sum(hundredths).alias("delay_hundredths"),
         F.count_if("is_delayed").alias("delayed"),
@@ -29,7 +29,8 @@ def rollup(matched: DataFrame) -> DataFrame:
     )
 
 
-def _added(figures: DataFrame, *key: str) -> DataFrame:
+def added(figures: DataFrame, *key: str) -> DataFrame:
+    """Figures of a rollup summed up by ``key``."""
     return figures.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
 
 
@@ -43,7 +44,7 @@ def _mean_delay() -> Column:
 
 def line_performance(figures: DataFrame) -> DataFrame:
     """Per line code and short name; a missing short name is a group of its own."""
-    return _added(figures, "line_code", "route_short_name").select(
+    return added(figures, "line_code", "route_short_name").select(
         "line_code",
         "route_short_name",
         "observations",
@@ -55,7 +56,7 @@ def line_performance(figures: DataFrame) -> DataFrame:
 
 def stop_performance(figures: DataFrame) -> DataFrame:
     """Per stop name as observed, not as normalised for the match."""
-    return _added(figures, "stop_point_name").select(
+    return added(figures, "stop_point_name").select(
         "stop_point_name",
         "observations",
         _mean_delay().alias("avg_delay_minutes"),
@@ -70,7 +71,7 @@ def disruption_reasons(figures: DataFrame) -> DataFrame:
 
 def network_overview(figures: DataFrame) -> DataFrame:
     """One row for the network. Without observations the count is 0 and the rest NULL."""
-    return _added(figures).select(
+    return added(figures).select(
         F.coalesce("observations", F.lit(0)).alias("total_observations"),
         F.col("disrupted").alias("disrupted_observations"),
         F.col("cancelled").alias("cancelled_observations"),

@@ -9,12 +9,13 @@ from punctuality import schemas
 from punctuality.functions import line_code
 
 
-def build_schedule(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, stops: DataFrame) -> DataFrame:
+def build_schedule(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, stops: DataFrame, distinct: bool = True) -> DataFrame:
     """One row per distinct planned departure of a known line at a named stop.
 
     The line of a trip is settled on the trip table, before the large stop-times table is touched, and trips
     without a line are dropped there. Trips without a route row stay when their route id carries a code. Stop
-    times at unknown or unnamed stops could only be dropped later, so that join is an inner one.
+    times at unknown or unnamed stops could only be dropped later, so that join is an inner one. Without ``distinct``
+    repeated rows stay, which spares a shuffle where the next step reduces them anyway, as the match does.
     """
     lines = (
         trips.join(routes, "route_id", "left")
@@ -23,9 +24,5 @@ def build_schedule(routes: DataFrame, trips: DataFrame, stop_times: DataFrame, s
         .select("trip_id", "line_code", "route_short_name")
     )
     named_stops = stops.filter(F.col("stop_name").isNotNull())
-    return (
-        stop_times.join(lines, "trip_id")
-        .join(named_stops, "stop_id")
-        .select(*schemas.names(schemas.SCHEDULE))
-        .dropDuplicates()
-    )
+    rows = stop_times.join(lines, "trip_id").join(named_stops, "stop_id").select(*schemas.names(schemas.SCHEDULE))
+    return rows.dropDuplicates() if distinct else rows

@@ -437,4 +437,8 @@ ORACLE: dict[str, str] = {
                     FROM events))
     """,
     "stream_ingest_match": MATCHED_ROWS,
+    "stream_passages": sql(
+        [TABLES, PASSAGES], "SELECT * EXCLUDE (document, recorded_at_ts, expected_departure_ts) FROM passages"
+    ),
+    "incremental_indicators": sql([*VERDICT, by_line()], "SELECT * FROM lines"),
 }

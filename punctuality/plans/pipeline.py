@@ -19,6 +19,7 @@ from punctuality.sources import catalog
 from punctuality.sources.sinks import export_report, write_parquet
 from punctuality.sources.snapshots import read_snapshots
 from punctuality.sources.tables import read_feed, read_parquet
+from punctuality.streaming import read_rollups
 
 
 @dataclass(frozen=True)
@@ -78,9 +79,17 @@ def make_matches(spark: SparkSession, at: Layout, config: MatchConfig = MatchCon
     return {"matched": write_parquet(judge(matches, config), at["matched"])}
 
 
-def make_indicators(spark: SparkSession, at: Layout) -> dict[str, int]:
-    """Matched observations → rollup → indicator datasets. The observations are read once."""
-    rows = {"rollup": write_parquet(indicators.rollup(read_parquet(spark, at["matched"])), at["rollup"])}
+def make_indicators(spark: SparkSession, at: Layout, streamed: bool = False) -> dict[str, int]:
+    """Matched observations → rollup → indicator datasets. The observations are read once.
+
+    With ``streamed`` the rollup is the sum of what the stream's batches have left, and no observation is read at all.
+    """
+    key = (*indicators.ROLLUP_KEY,)
+    if streamed:
+        figures = indicators.added(read_rollups(spark, at["arrivals"]), *key)
+    else:
+        figures = indicators.rollup(read_parquet(spark, at["matched"]))
+    rows = {"rollup": write_parquet(figures, at["rollup"])}
     figures = read_parquet(spark, at["rollup"])
     for name, indicator in INDICATORS.items():
         rows[name] = write_parquet(indicator(figures), at[name])

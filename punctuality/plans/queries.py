@@ -20,7 +20,7 @@ from punctuality.plans import adapters
 from punctuality.plans.files import write_files
 from punctuality.sources import catalog, sinks, snapshots, tables
 from punctuality.sources.scratch import new_folder
-from punctuality.streaming import match_arrivals, read_matches
+from punctuality.streaming import match_arrivals, read_matches, read_passages, read_rollups
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,8 +48,13 @@ def _schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_schedule(**adapters.feed(spark, sf_dir))
 
 
+def _departures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The schedule for a match, which keeps one of equal departures anyway."""
+    return build_schedule(**adapters.feed(spark, sf_dir), distinct=False)
+
+
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.judge(matching.match_passages(adapters.passages(spark, sf_dir), _schedule(spark, sf_dir)))
+    return matching.judge(matching.match_passages(adapters.passages(spark, sf_dir), _departures(spark, sf_dir)))
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,19 +143,19 @@ def candidate_pairs(spark, sf_dir):
 
 @query
 def nearest_match(spark, sf_dir):
-    found = matching.match_passages(adapters.passages(spark, sf_dir), _schedule(spark, sf_dir))
+    found = matching.match_passages(adapters.passages(spark, sf_dir), _departures(spark, sf_dir))
     return found.select(*MATCH_COLUMNS)
 
 
 @query
 def nearest_match_window(spark, sf_dir):
-    found = matching.match_passages_windowed(adapters.passages(spark, sf_dir), _schedule(spark, sf_dir))
+    found = matching.match_passages_windowed(adapters.passages(spark, sf_dir), _departures(spark, sf_dir))
     return found.select(*MATCH_COLUMNS)
 
 
 @query
 def nearest_match_bucketed(spark, sf_dir):
-    found = matching.match_passages(adapters.passages(spark, sf_dir), _schedule(spark, sf_dir), NARROW)
+    found = matching.match_passages(adapters.passages(spark, sf_dir), _departures(spark, sf_dir), NARROW)
     return found.select(*MATCH_COLUMNS)
 
 
@@ -364,16 +369,33 @@ def zone_seconds(spark, sf_dir):
     )
 
 
-@query
-def stream_ingest_match(spark, sf_dir):
-    """Snapshots that arrive in two drops, matched incrementally."""
+def _streamed(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with what a stream has made of snapshots that arrive in two drops."""
     arriving, output, checkpoint, spans = (
         new_folder(spark, purpose) for purpose in ("arriving", "stream-out", "stream-state", "spans")
     )
-    sinks.write_parquet(matching.departure_spans(_schedule(spark, sf_dir)), spans)
+    sinks.write_parquet(matching.departure_spans(_departures(spark, sf_dir)), spans)
     documents = adapters.documents(spark, sf_dir)
     early = F.crc32("source_file") % 2 == 0
     for drop in (early, ~early):
         write_files(documents.filter(drop), arriving)
         match_arrivals(spark, arriving, spans, output, checkpoint).awaitTermination()
-    return _instants_as_text(read_matches(spark, output).drop("batch_id"))
+    return output
+
+
+@query
+def stream_ingest_match(spark, sf_dir):
+    """Snapshots that arrive in two drops, matched incrementally."""
+    return _instants_as_text(read_matches(spark, _streamed(spark, sf_dir)).drop("batch_id", "service_date"))
+
+
+@query
+def stream_passages(spark, sf_dir):
+    """The passages that the stream stores on its way."""
+    return read_passages(spark, _streamed(spark, sf_dir)).drop("batch_id", "service_date", *INSTANTS)
+
+
+@query
+def incremental_indicators(spark, sf_dir):
+    """Line performance from the rollups of the batches, each made of its own drop alone."""
+    return indicators.line_performance(read_rollups(spark, _streamed(spark, sf_dir)))

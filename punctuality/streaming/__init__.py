@@ -1,5 +1,5 @@
 """Incremental runs over snapshots as they arrive."""
 
-from punctuality.streaming.match import FILES_PER_BATCH, match_arrivals, read_matches
+from punctuality.streaming.match import FILES_PER_BATCH, match_arrivals, read_matches, read_passages, read_rollups
 
-__all__ = ["FILES_PER_BATCH", "match_arrivals", "read_matches"]
+__all__ = ["FILES_PER_BATCH", "match_arrivals", "read_matches", "read_passages", "read_rollups"]

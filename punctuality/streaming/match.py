@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from punctuality import schemas
 from punctuality.config import MatchConfig
+from punctuality.functions import service_date
+from punctuality.operators.indicators import rollup
 from punctuality.operators.matching import judge, match_to_spans
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.sources.snapshots import follow_snapshots
@@ -29,14 +32,28 @@ def match_arrivals(
     ``spans`` is the dataset of :func:`punctuality.operators.matching.departure_spans`, read anew in every batch, so
     a reloaded schedule counts from the next batch on. A file is never split between batches and an observation
     never spans files, so the result equals one batch run over all files and no state is kept. Each batch
-    replaces its own folder, so a batch that runs again after a failure leaves no second copy.
+    replaces its own folders, so a batch that runs again after a failure leaves no second copy.
+
+    Below ``output`` a batch leaves its ``passages``, its ``matched`` rows and their ``rollup``, each by service date. All
+    figures of a rollup are sums, so the rollups of all batches together are the rollup of all rows: a new batch costs
+    only its own rows, whatever has been collected before.
     """
     arrivals = build_passages(flatten_snapshots(follow_snapshots(spark, snapshots, files_per_batch)))
 
+    def day(ts: str) -> Column:
+        return service_date(F.col(ts), config.rollover_hour, config.time_zone).cast("string").alias("service_date")
+
+    def write(rows: DataFrame, dataset: str, batch: int) -> DataFrame:
+        path = f"{output}/{dataset}/batch_id={batch}"
+        rows.hint("rebalance", "service_date").write.mode("overwrite").partitionBy("service_date").parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
     def match_batch(passages: DataFrame, batch: int) -> None:
         planned = passages.sparkSession.read.parquet(spans)
-        matched = judge(match_to_spans(passages, planned, config), config)
-        matched.write.mode("overwrite").parquet(f"{output}/batch_id={batch}")
+        known = write(passages.select("*", day("expected_departure_ts")), "passages", batch)
+        matched = judge(match_to_spans(known.drop("service_date"), planned, config), config)
+        kept = write(matched.select("*", day("expected_departure_ts")), "matched", batch)
+        write(rollup(kept, "service_date"), "rollup", batch)
 
     return (
         arrivals.writeStream.foreachBatch(match_batch)
@@ -46,6 +63,16 @@ def match_arrivals(
     )
 
 
+def read_passages(spark: SparkSession, output: str) -> DataFrame:
+    """All passages that :func:`match_arrivals` has stored so far."""
+    return spark.read.schema(f"{schemas.PASSAGES}, batch_id bigint, service_date string").parquet(f"{output}/passages")
+
+
 def read_matches(spark: SparkSession, output: str) -> DataFrame:
-    """Everything :func:`match_arrivals` has written so far."""
-    return spark.read.schema(f"{schemas.MATCHED}, batch_id bigint").parquet(output)
+    """All matched rows that :func:`match_arrivals` has stored so far."""
+    return spark.read.schema(f"{schemas.MATCHED}, batch_id bigint, service_date string").parquet(f"{output}/matched")
+
+
+def read_rollups(spark: SparkSession, output: str) -> DataFrame:
+    """The rollups of all batches, which the indicators sum up."""
+    return spark.read.parquet(f"{output}/rollup")

@@ -10,12 +10,12 @@ from test_operators import schedule, visit
 
 from punctuality import MatchConfig, schemas
 from punctuality.__main__ import arguments, run
-from punctuality.operators import matching
+from punctuality.operators import indicators, matching
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.plans import pipeline
 from punctuality.plans.files import write_files
 from punctuality.sources import catalog, scratch, sinks, snapshots, tables
-from punctuality.streaming import match_arrivals, read_matches
+from punctuality.streaming import match_arrivals, read_matches, read_passages, read_rollups
 
 
 def write(path, text):
@@ -186,5 +186,9 @@ def test_stream_equals_batch_and_restarts_cleanly(spark, tmp_path):
     batch = build_passages(flatten_snapshots(snapshots.read_snapshots(spark, str(arriving))))
     expected = matching.judge(matching.match_to_spans(batch, spark.read.parquet(spans)), MatchConfig())
     streamed = read_matches(spark, output)
-    assert rows_of(streamed.drop("batch_id")) == rows_of(expected)
+    assert rows_of(streamed.drop("batch_id", "service_date")) == rows_of(expected)
     assert streamed.count() == 7
+    assert {r.service_date for r in streamed.collect()} == {"2026-01-05"}
+    assert read_passages(spark, output).count() == batch.count()
+    summed = indicators.added(read_rollups(spark, output), *indicators.ROLLUP_KEY)
+    assert rows_of(summed) == rows_of(indicators.rollup(expected).select(*summed.columns))
