@@ -1,4 +1,4 @@
-"""The registered queries of the corpus operators: each applies its operator to the whole table."""
+"""The registered queries of the corpus operators: each applies its operator to the whole table. ``ORACLE`` has their SQL."""
 
 from __future__ import annotations
 
@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality.llm import bpe, brown, chat, embeddings, minhash, packing, pii, quality, substring, toxicity
+from punctuality.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
