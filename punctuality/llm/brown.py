@@ -2,12 +2,15 @@
 
 p(w_i | w_{i-1}) = p(c_i | c_{i-1}) p(w_i | c_i), each smoothed, over the words of a text and one end.
 
-**Types.** The ``TYPES`` most frequent words are types of their own; every other word is of the type of its last two
-letters, hashed to ``TAILS`` types. So any word of any text has a type without a table of all words.
-**Classes.** Bigrams of types are counted over the whole training text. Exchange clustering moves each type to the class
-that raises the bigram likelihood most, again and again; it needs only that count table, whose size is fixed.
-**Emissions.** Words are counted over the whole training text. The ``FREQUENT`` most frequent counts go to every task;
-counts of the other words meet their documents in a join, so no table of all words is held anywhere.
+**Seed classes.** The ``TYPES`` most frequent words are types of their own; every other word begins with the type of its
+last two letters, hashed to ``TAILS`` types. Bigrams of types are counted over the whole training text, and exchange
+clustering moves each type to the class that raises the bigram likelihood most, again and again.
+**Classes of words.** Then every other word of the training text gets a class of its own: its uses are summed by the
+classes at its left and right over all texts, and tasks give it the class that suits these best. ``REFINEMENTS`` such
+sweeps run, each stored; the classes with the highest likelihood stay. Only words never seen in training take the seed
+class of their ending.
+**Emissions.** Words are counted over the whole training text. The ``FREQUENT`` most frequent counts and classes go to
+every task; those of the other words meet their documents in a join, so no table of all words is held anywhere.
 """
 
 from __future__ import annotations
@@ -28,6 +31,12 @@ from punctuality.llm.common import slices, spans_of, split_words, stored
 TYPES, TAILS, CLASSES = 1024, 512, 64
 FREQUENT = 100_000
 SWEEPS = 12
+#: Sweeps that give every word its class, after the seed classes.
+REFINEMENTS = 2
+#: Added to each cell of the class bigrams when words choose among classes.
+SMOOTH = 0.5
+#: Words that a task handles at once.
+TOKENS = 1_000_000
 ADD = 0.1
 #: Weight of the class frequencies within the transitions.
 BACK_OFF = 2.0
@@ -163,15 +172,243 @@ def exchange(table: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS) ->
     return home
 
 
+def sequences(docs: DataFrame, rank: dict[str, int], text_column: str = "text", id_column: str | None = None) -> DataFrame:
+    """``(row_key, n, seq, rare)`` of each text, after its id if one is asked for.
+
+    ``seq`` holds the words as compressed numbers: the rank of a frequent word, or ``-1 - i`` for word ``i`` of ``rare``.
+    """
+    names = [id_column] if id_column else []
+    rows = docs.select(*names, text_column, F.monotonically_increasing_id().alias("row_key"))
+    at = len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd", 1)
+        for part in slices(batches, at):
+            words, codes, lengths = split_words(part, at, lower=True)
+            known = np.array([rank.get(w, -1) for w in words.to_pylist()], dtype=np.int64)
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            line = known[codes] if len(codes) else np.zeros(0, np.int64)
+            rare = line < 0
+            width = max(len(words), 1)
+            pair, place = np.unique(owner[rare] * width + codes[rare], return_inverse=True)
+            bounds = np.searchsorted(pair, np.arange(len(lengths) + 1) * width)
+            line[rare] = -1 - (place - bounds[owner[rare]])
+            line = line.astype(np.int32)
+            starts, ends = spans_of(lengths)
+            packed = [codec.compress(line[i:j].tobytes(), asbytes=True) if j > i else b"" for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.take(pa.array(pair % width)))
+            columns = [*(part.column(n) for n in range(at)), part.column(at + 1), pa.array(lengths, pa.int64()), pa.array(packed, pa.binary()), lists]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "row_key", "n", "seq", "rare"])
+
+    kind = f"`{id_column}` {rows.schema[0].dataType.simpleString()}, " if id_column else ""
+    return stored(rows.mapInArrow(run, f"{kind}row_key long, n long, seq binary, rare array<string>"), "sequences")
+
+
+def _met(held: DataFrame, counts: DataFrame, counted: bool = False) -> DataFrame:
+    """``held`` with ``found``: place * CLASSES + class of each of its rare words that ``counts`` has, and the count if asked.
+
+    Rows are dealt out before they are gathered: a list for each of a few rows takes more room than the rows.
+    """
+    rare = held.select("row_key", F.posexplode("rare").alias("i", "word"))
+    at = (F.col("i").cast("long") * CLASSES + F.col("k")).alias("at")
+    names = [at, *([F.col("c")] if counted else [])]
+    found = rare.join(counts, "word").select("row_key", *names).repartition("row_key")
+    found = found.groupBy("row_key").agg(F.collect_list(F.struct("at", *(["c"] if counted else []))).alias("found"))
+    return held.join(found, "row_key", "left")
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``TOKENS`` words."""
+    for batch in batches:
+        total = np.cumsum(batch.column("n").to_numpy())
+        cuts = np.flatnonzero(np.diff(total // TOKENS)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            if b > a:
+                yield batch.slice(a, b - a)
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Offsets of a list column from 0 on, and its values."""
+    ends = np.cumsum([0, *(column.value_lengths().fill_null(0).to_pylist())])
+    return ends, column.flatten()
+
+
+class _Read:
+    """A part of :func:`sequences` read back, with the class of each of its words."""
+
+    def __init__(self, part: pa.RecordBatch, klass: np.ndarray, home: np.ndarray):
+        codec = pa.Codec("zstd", 1)
+        self.lengths = part.column("n").to_numpy().astype(np.int64)
+        rows = len(self.lengths)
+        each = [codec.decompress(b, 4 * n, asbytes=True) for b, n in zip(part.column("seq").to_pylist(), self.lengths.tolist(), strict=True) if n]
+        self.line = np.frombuffer(b"".join(each), dtype=np.int32).astype(np.int64)
+        self.owner = np.repeat(np.arange(rows), self.lengths)
+        offsets, self.words = _flat(part.column("rare"))
+        own, self.counts = np.full(len(self.words), -1, dtype=np.int64), np.zeros(len(self.words), dtype=np.int64)
+        if "found" in part.schema.names:
+            bounds, found = _flat(part.column("found"))
+            at = found.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
+            place = np.repeat(offsets[:-1], np.diff(bounds)) + at // CLASSES
+            own[place] = at % CLASSES
+            if found.type.num_fields > 1:
+                self.counts[place] = found.field("c").to_numpy(zero_copy_only=False)
+        new = np.flatnonzero(own < 0)
+        own[new] = home[np.array([_tail_type(w) for w in self.words.take(pa.array(new)).to_pylist()], dtype=np.int64)]
+        self.rare = self.line < 0
+        self.place = offsets[self.owner[self.rare]] - 1 - self.line[self.rare]
+        self.kinds = np.zeros(len(self.line), dtype=np.int64)
+        self.kinds[self.rare] = own[self.place]
+        self.kinds[~self.rare] = klass[self.line[~self.rare]]
+        self.spot = np.arange(len(self.line)) + self.owner + 1
+        self.around = np.zeros(len(self.line) + rows + 1, dtype=np.int64)  # an end before the first text and after each
+        self.around[self.spot] = self.kinds
+
+
+def contexts(held: DataFrame, klass: np.ndarray, home: np.ndarray, gather: bool) -> DataFrame:
+    """Class bigrams of the texts, and what stands beside each word that is no seed: ``(word, rank, uses)``.
+
+    Rare words have one (own class, left class, right class) a use. Frequent ones have a rank, and sums by left class
+    and by CLASSES + right class as n * 2 * CLASSES + class. The sums of class bigrams come in full with rank -1.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joint = np.zeros(CLASSES * CLASSES, dtype=np.int64)
+        cells = np.zeros(max(0, len(klass) - TYPES) * 2 * CLASSES if gather else 0, dtype=np.int64)
+
+        for part in _parts(batches):
+            read = _Read(part, klass, home)
+            joint += np.bincount(read.around[:-1] * CLASSES + read.around[1:], minlength=CLASSES * CLASSES)
+            if not gather:
+                continue
+            left, right = read.around[read.spot - 1], read.around[read.spot + 1]
+            often = read.line >= TYPES
+            row = (read.line[often] - TYPES) * 2 * CLASSES
+            np.add.at(cells, row + left[often], 1)
+            np.add.at(cells, row + CLASSES + right[often], 1)
+            if len(read.words):
+                coded = read.words.dictionary_encode()
+                word = coded.indices.to_numpy(zero_copy_only=False)[read.place]
+                order = np.argsort(word, kind="stable")
+                use = ((read.kinds[read.rare] * CLASSES + left[read.rare]) * CLASSES + right[read.rare])[order]
+                bounds = np.searchsorted(word[order], np.arange(len(coded.dictionary) + 1))
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(use, pa.int64()))
+                yield pa.RecordBatch.from_arrays([coded.dictionary, pa.nulls(len(lists), pa.int64()), lists], names=["word", "rank", "uses"])
+        width = 2 * CLASSES
+        used = np.flatnonzero(cells)
+        rank, first = np.unique(used // width, return_index=True)
+        packed = np.concatenate((joint, cells[used] * width + used % width))
+        bounds = np.concatenate(([0], first + len(joint), [len(packed)]))
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(packed, pa.int64()))
+        columns = [pa.nulls(len(lists), pa.string()), pa.array(np.concatenate(([-1], rank + TYPES)), pa.int64()), lists]
+        yield pa.RecordBatch.from_arrays(columns, names=["word", "rank", "uses"])
+
+    return held.mapInArrow(run, "word string, rank long, uses array<long>")
+
+
+def chosen(own: np.ndarray, left: np.ndarray, right: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """The best class of each word, given its class and its uses by left and right class, all others left as they are.
+
+    The likelihood of a word's bigrams in each class; in its own, its bigrams are taken out of the class first.
+    """
+    rows, into = joint.sum(axis=1) + SMOOTH * CLASSES, joint.sum(axis=0) + SMOOTH * CLASSES
+    worth = np.log(joint + SMOOTH) - np.log(rows)[:, None] - np.log(into)[None, :]
+    gain = left @ worth + right @ worth.T
+    n = left.sum(axis=1, keepdims=True)
+    least = SMOOTH / 2
+    before = np.log(np.maximum(joint[:, own].T - left, 0) + SMOOTH) - np.log(rows) - np.log(np.maximum(into[own][:, None] - n, least))
+    after = np.log(np.maximum(joint[own] - right, 0) + SMOOTH) - np.log(into) - np.log(np.maximum(rows[own][:, None] - n, least))
+    every = np.arange(len(own))
+    mine = (left * before + right * after).sum(axis=1)
+    gain[every, own] = mine
+    gain[:, 0] = -np.inf
+    best = gain.argmax(axis=1)
+    return np.where(gain[every, best] > mine + 1e-9, best, own)
+
+
+def _chosen_rare(found: DataFrame, joint: np.ndarray) -> DataFrame:
+    """``(word, c, k)``: count and class of each rare word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 20_000):
+                part = batch.slice(start, 20_000)
+                bounds, uses = _flat(part.column(1))
+                use = uses.to_numpy(zero_copy_only=False).astype(np.int64)
+                size = part.num_rows
+                word = np.repeat(np.arange(size), np.diff(bounds))
+                left = np.bincount(word * CLASSES + use // CLASSES % CLASSES, minlength=size * CLASSES).reshape(size, CLASSES)
+                right = np.bincount(word * CLASSES + use % CLASSES, minlength=size * CLASSES).reshape(size, CLASSES)
+                own = use[bounds[:-1]] // CLASSES**2
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(np.diff(bounds), pa.int64()), pa.array(chosen(own, left, right, joint), pa.int64())], names=["word", "c", "k"]
+                )
+
+    grouped = found.filter("word is not null").select("word", "uses").repartition("word").groupBy("word").agg(F.flatten(F.collect_list("uses")).alias("uses"))
+    return grouped.mapInArrow(run, "word string, c long, k long")
+
+
+def _chosen_frequent(found: DataFrame, klass: np.ndarray, joint: np.ndarray) -> np.ndarray:
+    """Classes of the frequent words by rank; those of the seeds stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bounds, cells = _flat(batch.column(1))
+            packed = cells.to_numpy(zero_copy_only=False)
+            size, width = batch.num_rows, 2 * CLASSES
+            place = np.repeat(np.arange(size), np.diff(bounds)) * width + packed % width
+            both = np.bincount(place, packed // width, size * width).reshape(size, width)
+            rank = batch.column(0).to_numpy(zero_copy_only=False)
+            best = chosen(klass[rank], both[:, :CLASSES], both[:, CLASSES:], joint)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(best, pa.int64())], names=["rank", "k"])
+
+    each = found.filter("rank >= 0").select("rank", "uses").repartition("rank")
+    grouped = each.groupBy("rank").agg(F.flatten(F.collect_list("uses")).alias("uses"))
+    rows = grouped.mapInArrow(run, "rank long, k long").toPandas()  # at most FREQUENT rows
+    klass = klass.copy()
+    klass[rows["rank"].to_numpy(np.int64)] = rows["k"].to_numpy(np.int64)
+    return klass
+
+
+def likelihood(joint: np.ndarray) -> float:
+    """log likelihood of the class bigrams and of the classes' words, but for a constant."""
+    return float(_xlogx(joint).sum() - _xlogx(joint.sum(axis=0)).sum() - _xlogx(joint.sum(axis=1)).sum())
+
+
+def refined(held: DataFrame, klass: np.ndarray, home: np.ndarray, refinements: int) -> tuple[np.ndarray, np.ndarray, DataFrame | None]:
+    """Classes of the frequent words, class bigrams and ``(word, c, k)`` of the rare words, of the likeliest sweep.
+
+    The rare words have no table, and their endings' classes, if no sweep is likelier than the seed.
+    """
+    best, rare = None, None
+    for sweep in range(refinements + 1):
+        gather = sweep < refinements
+        found = contexts(held if rare is None else _met(held, rare), klass, home, gather)
+        if gather:
+            found = stored(found, "contexts")
+        rows = found.filter("rank = -1").select(F.posexplode("uses").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).collect()
+        joint = np.zeros(CLASSES * CLASSES)
+        for row in rows:
+            joint[row.cell] = row.n
+        joint = joint.reshape(CLASSES, CLASSES)
+        if best is not None and likelihood(joint) <= likelihood(best[1]):
+            break
+        best = klass, joint, rare
+        if gather:
+            rare = stored(_chosen_rare(found, joint), "classes")
+            klass = _chosen_frequent(found, klass, joint)
+    return best
+
+
 @dataclass
 class ClassModel:
-    """All that a task needs: types, classes, transitions, emission denominators and the frequent counts."""
+    """All that a task needs: seed classes, transitions, emission denominators, and the frequent words by rank."""
 
-    types: Types
     home: np.ndarray
     transition: np.ndarray
     size: np.ndarray
-    counts: dict[str, int]
+    rank: dict[str, int]
+    counts: np.ndarray
+    klass: np.ndarray
     tokens: int
     vocabulary: int
     ends: int
@@ -182,39 +419,40 @@ class ClassModel:
 
 
 def learned(docs: DataFrame, text_column: str = "text") -> tuple[ClassModel, DataFrame]:
-    """The model of all texts of ``docs``, and the counts ``(word, c)`` of their words. Null texts count as empty."""
+    """The model of all texts of ``docs``, and ``(word, c, k)`` of the words that it does not hold. Null texts count as empty."""
     counts = stored(word_counts(docs, text_column), "words")
-    texts = docs.count()
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     top = counts.orderBy(F.col("c").desc(), "word").limit(FREQUENT).collect()
     types = Types({row.word: 1 + n for n, row in enumerate(top[:TYPES])})
-    table = bigram_counts(docs, types, text_column)
-    home = exchange(table)
-    member = np.zeros((types.count, CLASSES))
-    member[np.arange(types.count), home] = 1
-    joint = member.T @ table @ member
+    home = exchange(bigram_counts(docs, types, text_column))
+    rank = {row.word: n for n, row in enumerate(top)}
+    seed = home[types.of([row.word for row in top])] if top else np.zeros(0, dtype=np.int64)
+    klass, joint, rare = refined(sequences(docs, rank, text_column), seed, home, REFINEMENTS)
+    if rare is None:
+        rare = _by_ending(counts, rank, home)
     share = (joint.sum(axis=0) + 1e-3) / (joint.sum() + 1e-3 * CLASSES)
     transition = np.log10((joint + BACK_OFF * share) / (joint.sum(axis=1, keepdims=True) + BACK_OFF))
-    sizes = _class_sizes(counts, types, home, texts)
+    texts = int(joint[:, 0].sum())
+    words = np.bincount(klass, minlength=CLASSES)
+    for row in rare.groupBy("k").count().collect():
+        words[row.k] += row["count"]
+    words[0] = 1 if texts else 0
+    sizes = np.log10(joint.sum(axis=0) + ADD * (words + 1))
     tokens, vocabulary = int(totals.n) + texts, int(totals.v) + (1 if texts else 0)
-    return ClassModel(types, home, transition, sizes, {r.word: int(r.c) for r in top}, tokens, vocabulary, texts), counts
+    return ClassModel(home, transition, sizes, rank, np.array([r.c for r in top], dtype=np.int64), klass, tokens, vocabulary, texts), rare
 
 
-def _class_sizes(counts: DataFrame, types: Types, home: np.ndarray, texts: int) -> np.ndarray:
-    """log10 of the emission denominators: tokens of a class and ADD for each of its words and one unknown."""
+def _by_ending(counts: DataFrame, rank: dict[str, int], home: np.ndarray) -> DataFrame:
+    """``(word, c, k)`` of the rare words with the classes of their endings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kind = home[types.of(batch.column(0).to_pylist())]
-            used = batch.column(1).to_numpy(zero_copy_only=False)
-            n, v = np.bincount(kind, used, CLASSES).astype(np.int64), np.bincount(kind, minlength=CLASSES)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(n), pa.array(v)], names=["k", "n", "v"])
+            held = [(w, c) for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if w not in rank]
+            kinds = [int(home[_tail_type(w)]) for w, _ in held]
+            columns = [pa.array([w for w, _ in held], pa.string()), pa.array([c for _, c in held], pa.int64()), pa.array(kinds, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "c", "k"])
 
-    n, v = np.zeros(CLASSES), np.zeros(CLASSES)
-    for row in counts.mapInArrow(run, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
-        n[row.k], v[row.k] = row.n, row.v
-    n[0], v[0] = texts, 1 if texts else 0
-    return np.log10(np.maximum(n + ADD * (v + 1), ADD))
+    return stored(counts.mapInArrow(run, "word string, c long, k long"), "classes")
 
 
 def score(docs: DataFrame, model: ClassModel, counts: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -224,49 +462,26 @@ def score(docs: DataFrame, model: ClassModel, counts: DataFrame, id_column: str
     of log10. Null and empty texts are the end alone; repeated rows and null ids stay rows of their own; an empty table
     gives no rows; other columns are ignored.
     """
-    rows = docs.select(id_column, text_column, F.monotonically_increasing_id().alias("row_key"))
-    kind = rows.schema[0].dataType.simpleString()
+    held = sequences(docs, model.rank, text_column, id_column)
+    kind = held.schema[0].dataType.simpleString()
     end_base = math.log10(model.ends + ADD) - model.base_size
     end_own = math.log10(model.ends + ADD) - float(model.size[0])
+    frequent, klass, home, transition, size, base_size, ends_seen = model.counts, model.klass, model.home, model.transition, model.size, model.base_size, int(model.ends > 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches):
-            words, codes, lengths, sequence, ends = _token_types(part, model.types, 1)
-            held = words.to_pylist()
-            known = np.array([model.counts.get(w, -1) for w in held], dtype=np.int64)
-            classes = model.home[sequence]
-            step = np.concatenate(([0.0], np.cumsum(model.transition[classes[:-1], classes[1:]])))
-            begin = np.concatenate(([0], ends[:-1])) if len(ends) else ends
-            moves = step[ends] - step[begin]
-            owner = np.repeat(np.arange(len(lengths)), lengths)
-            kinds = model.home[sequence[np.arange(len(codes)) + owner + 1]]
-            common = known[codes] >= 0
-            emitted = np.where(common, np.log10(np.maximum(known[codes], 0) + ADD), 0.0)
-            rows = len(lengths)
-            sums = np.bincount(owner, emitted, rows)
-            sized = np.bincount(owner, model.size[kinds], rows)
-            columns = [
-                part.column(0), part.column(2), pa.array(lengths + 1), pa.array(np.bincount(owner[common], minlength=rows) + int(model.ends > 0)),
-                pa.array(sums - lengths * model.base_size + end_base), pa.array(moves + sums - sized + end_own),
-            ]
-            rare = ~common
-            pair, n = np.unique(owner[rare] * len(held) + codes[rare], return_counts=True) if rare.any() else (np.zeros(0, np.int64), np.zeros(0, np.int64))
-            spot, code = (pair // max(len(held), 1), pair % max(len(held), 1))
-            bounds = pa.array(np.searchsorted(spot, np.arange(rows + 1)), pa.int32())
-            lists = pa.ListArray.from_arrays(bounds, pa.StructArray.from_arrays([words.take(pa.array(code)), pa.array(n.astype(np.int64))], names=["word", "n"]))
-            yield pa.RecordBatch.from_arrays([*columns, lists], names=[id_column, "row_key", "n_tokens", "n_known", "base_score", "score", "rare"])
-
-    schema = f"`{id_column}` {kind}, row_key long, n_tokens long, n_known long, base_score double, score double, rare array<struct<word:string,n:long>>"
-    found = stored(rows.mapInArrow(run, schema), "scored")
-    rare = found.select("row_key", F.explode("rare").alias("r")).select("row_key", "r.word", "r.n")
-    met = rare.join(counts, "word", "left")
-    more = met.groupBy("row_key").agg(
-        F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + ADD)).alias("more"),
-        F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("seen"),
-    )
-    whole = found.drop("rare").join(more, "row_key", "left")
-    extra = F.coalesce("more", F.lit(0.0))
-    return whole.select(
-        id_column, "n_tokens", (F.col("n_known") + F.coalesce("seen", F.lit(0))).alias("n_known"),
-        (F.col("base_score") + extra).alias("base_score"), (F.col("score") + extra).alias("score"),
-    )
+        for part in _parts(batches):
+            read = _Read(part, klass, home)
+            rows, lengths = len(read.lengths), read.lengths
+            used = np.zeros(len(read.line), dtype=np.int64)
+            used[read.rare] = read.counts[read.place]
+            used[~read.rare] = frequent[read.line[~read.rare]]
+            step = np.concatenate(([0.0], np.cumsum(transition[read.around[:-1], read.around[1:]])))
+            ends = np.cumsum(lengths + 1)
+            moves = step[ends] - step[ends - lengths - 1]
+            sums = np.bincount(read.owner, np.log10(used + ADD), rows)
+            sized = np.bincount(read.owner, size[read.kinds], rows)
+            seen = np.bincount(read.owner[used > 0], minlength=rows) + ends_seen
+            columns = [part.column(id_column), pa.array(lengths + 1), pa.array(seen), pa.array(sums - lengths * base_size + end_base), pa.array(moves + sums - sized + end_own)]
+            yield pa.RecordBatch.from_arrays(columns, names=[id_column, "n_tokens", "n_known", "base_score", "score"])
+
+    return _met(held, counts, counted=True).mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, n_known long, base_score double, score double")

@@ -213,3 +213,27 @@ def test_brown_scores(spark, monkeypatch):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
     empty = docs.limit(0)
     assert brown.score(empty, *brown.learned(empty)).collect() == []
+
+
+def test_classes_of_words_come_from_their_uses_not_their_endings(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(brown, "FREQUENT", 1100)
+    rng = random.Random(3)
+    common = [f"{a}{b}{c}" for a in "bcdfghjklm" for b in "aeiou" for c in "nprstvwxyzbcdfghjklm"]  # 1,000: even ones lead, odd ones follow
+    first, second = common[::2], common[1::2]
+    # All these words are rarer and have one ending; only what stands beside them tells them apart.
+    leads, follows = [f"lead{n}qq" for n in range(300)], [f"next{n}qq" for n in range(300)]
+    rows = []
+    for n in range(3000):
+        words = [w for _ in range(20) for w in (rng.choice(first), rng.choice(second))]
+        words[2 * rng.randrange(20)], words[2 * rng.randrange(20) + 1] = leads[n % 300], follows[n % 300]
+        rows.append((n, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model, counts = brown.learned(docs)
+    own = {r.word: r.k for r in counts.collect()} | {w: int(model.klass[n]) for w, n in model.rank.items()}
+    assert {r.word: r.c for r in counts.collect()} == {w: c for w, c in Counter(w for _, t in rows for w in t.split()).items() if w not in model.rank}
+    assert counts.filter("word like '%qq'").count() >= 400
+    apart = {own[w] for w in leads} & {own[w] for w in follows}
+    mixed = sum(own[w] in apart for w in leads + follows)
+    assert mixed < 60  # by their ending all 600 had one class
