@@ -22,6 +22,8 @@ BOILERPLATE = (
     "all rights reserved", "cookie", "javascript", "privacy policy", "terms of service", "terms of use", "click here",
     "sign in", "log in", "subscribe", "lorem ipsum", "powered by", "read more", "share this", "licensed under",
 )
+#: The same as whole words, with or without a plural s.
+PHRASES = "(?<![\\p{L}\\p{N}_])(?:" + "|".join(BOILERPLATE) + ")s?(?![\\p{L}\\p{N}_])"
 NAVIGATION = ("»", "›", "→", "|")
 SENTENCE_END = "[.!?:;…。！？][\"'”’»)\\]]*\\s*$"
 
@@ -35,6 +37,8 @@ class LineRules:
     max_capital_share: float = 0.7
     min_letters_for_capitals: int = 20
     max_navigation_words: int = 3
+    max_notice_chars: int = 200
+    max_phrase_share: float = 0.2
     max_lost_share: float = 0.5
     min_words: int = 50
     max_repeat_share: float = 0.5
@@ -69,7 +73,11 @@ def line_passes(fact: Column, rules: LineRules) -> Column:
         (letters >= rules.min_letters_for_capitals) & (capitals > rules.max_capital_share * letters)
     )
     navigation = reduce(or_, [F.contains(line, F.lit(sign)) for sign in NAVIGATION])
-    boilerplate = reduce(or_, [F.contains(fact["low"], F.lit(phrase)) for phrase in BOILERPLATE])
+    # One phrase fails a short notice; a longer line fails only if phrases make up much of its words.
+    named = reduce(or_, [F.contains(fact["low"], F.lit(phrase)) for phrase in BOILERPLATE]) & fact["low"].rlike(PHRASES)
+    rest = _line_words(F.regexp_replace(fact["low"], PHRASES, " "))
+    notice = F.length(line) <= rules.max_notice_chars
+    boilerplate = named & (notice | (_line_words(line) - rest > rules.max_phrase_share * _line_words(line)))
     return (
         (size > 0)
         & (fact["symbols"] <= rules.max_symbol_share * size)

@@ -55,6 +55,20 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert kept[12] == QUALITY[12].splitlines()[-1]
 
 
+def test_boilerplate_phrases_are_words_and_spare_prose(spark):
+    prose = " ".join(f"v{n}" for n in range(60))
+    clean = [f"{prose} {held} {prose[::-1]}." for held in ("a new design in blue", "the catalog in print", "one cookie with tea", "you can read more there")]
+    paragraphs = "\n".join(f"{' '.join(f'p{n}w{i}' for i in range(60))} the dialog in a cookie story." for n in range(3))
+    short = "The design in this catalog in print has a dialog in it."
+    notices = "\n".join([prose + ".", "We use cookies on this page.", "Please log in or subscribe", short])
+    joined = "click here subscribe read more sign in log in share this privacy policy w " * 8
+    docs = spark.createDataFrame(list(enumerate([*clean, paragraphs, notices, joined])), "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in quality.clean(docs).collect()}
+    assert [kept.get(n) for n in range(5)] == [*clean, paragraphs]
+    assert kept[5] == f"{prose}.\n{short}" and 6 not in kept
+    assert quality.measured(docs).filter("doc_id = 6").first().n_kept_lines == 0
+
+
 def test_plan_of_quality_is_native(spark):
     plan = quality.clean(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
