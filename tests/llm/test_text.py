@@ -144,6 +144,18 @@ def test_personal_data(spark):
     assert pii.detect(docs.limit(0), pii.fitted(docs.limit(0))).collect() == []
 
 
+def test_long_secrets_go_whole(spark):
+    import random
+
+    rng = random.Random(2)
+    run = lambda n: "".join(rng.choice("ABCDEFGHIJabcdefghij0123456789") for _ in range(n))
+    docs = spark.createDataFrame([(n, f'a api_key = "{run(size)}" end') for n, size in enumerate((40, 400, 5000))], "doc_id long, text string")
+    assert {r.redacted for r in pii.detect(docs, pii.fitted(docs)).collect()} == {'a api_key = "<SECRET>" end'}
+    held = "1" + " 234567890" * 20
+    assert (3, 2, 2 + len(held)) in pii.proposals(f"x {held} y") and pii.proposals("q" * 5000) == []
+    assert (4, 0, 5001) in pii.proposals("1" + "q" * 5000)
+
+
 def test_boosting_separates():
     import numpy as np
 
