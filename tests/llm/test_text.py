@@ -144,6 +144,19 @@ def test_personal_data(spark):
     assert pii.detect(docs.limit(0), pii.fitted(docs.limit(0))).collect() == []
 
 
+def test_spans_beyond_the_base_patterns(spark):
+    added = {
+        "ring (555) 123-4567 soon": "ring <PHONE> soon", "ring 555-123-4567 soon": "ring <PHONE> soon",
+        "pay 4111.1111.1111.1111 now": "pay <CARD> now", "pay 4111  1111  1111  1111 now": "pay <CARD> now",
+        "mail anna.b @ house.org now": "mail <EMAIL> now", "mail anna (at) house (dot) org now": "mail <EMAIL> now", "use 10[.]0[.]200[.]1 here": "use <IP> here",
+    }
+    plain = ["order 555-123-4567 came", "on 2024-11-12 and 12.11.2024", "version 1 . 2 . 3 . 4 is out", "pay 4111.1111.1111.1112 now", "meet me @ home . Then go", "order 123456789 of 2024"]
+    docs = spark.createDataFrame(list(enumerate([*added, *plain])), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.detect(docs, pii.fitted(docs.limit(0))).collect()}
+    assert [got[n].redacted for n in range(len(got))] == [*added.values(), *plain]
+    assert all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in got.values())
+
+
 def test_long_secrets_go_whole(spark):
     import random
 
