@@ -1,4 +1,7 @@
-"""Removal of passages that repeat word for word, by Relative Lempel-Ziv parsing against an index of blocks.
+"""Removal of passages that repeat word for word, by counting windows in blocks that anchors cut.
+
+This replaces the factor parse of Relative Lempel-Ziv: nothing is parsed greedily and no factor has a source. What goes is
+every word of a window found twice, which counts by key give exactly, without looking up a reference from each place.
 
 A repeat is a run of ``window`` words that also starts anywhere else. The corpus itself is the reference:
 
@@ -8,9 +11,8 @@ A repeat is a run of ``window`` words that also starts anywhere else. The corpus
    passages are cut equally wherever they stand.
 2. **Index.** Every block of every document is a reference block. A block is named by its anchor and a fingerprint
    of its words, together 128 bits. An anchor that occurs once rules out all its windows at once.
-3. **Factors.** A document is parsed greedily from left to right: blocks found elsewhere as a whole are copied and
-   joined into factors as long as they go on.
-4. **Factor boundaries.** Where a repeat begins or ends inside a block, the block's anchor is known elsewhere with
+3. **Whole blocks.** All windows of a block that is found elsewhere as a whole are repeats.
+4. **Mixed blocks.** Where a repeat begins or ends inside a block, the block's anchor is known elsewhere with
    other words around it. Only there are single windows compared, by 128-bit fingerprints.
 
 Everything travels as counts by key: a block that holds a third of all rows is summed before it is shuffled, and no
@@ -171,8 +173,8 @@ def _packed(first: str, value: Column) -> Column:
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """``docs(id, text, row_key)`` with ``covered``: runs of repeated windows as packed (first, windows) longs.
 
-    The factors of a document are the runs it copies from elsewhere; together with the windows that pass the check at
-    factor boundaries they cover exactly the words of repeated windows.
+    The blocks of a document found elsewhere as a whole, together with the windows of mixed blocks that are counted
+    twice, cover exactly the words of repeated windows.
     """
     found = blocks(docs, window, seed)
     index = (
