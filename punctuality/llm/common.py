@@ -80,3 +80,18 @@ def spans_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of consecutive runs of the given lengths."""
     ends = np.cumsum(counts)
     return ends - counts, ends
+
+
+#: A-Z become a-z, all other ASCII but letters and digits a space: on the bytes of UTF-8 text, where others are 0x80 and up.
+PLAIN = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
+
+
+def plain_terms(part: pa.RecordBatch, column: int = 1) -> pa.Array:
+    """The texts of a slice with A-Z in lower case and a space for every ASCII character that is no letter or digit.
+
+    What stays between the spaces are a text's terms. Null is an empty text; each text ends in a space.
+    """
+    text = pc.fill_null(part.column(column).cast(pa.string()), "")
+    text = pc.binary_join_element_wise(text, "", " ")  # a space after each, so that neighbours never touch
+    _, offsets, data = text.buffers()
+    return pa.StringArray.from_buffers(len(text), offsets, pa.py_buffer(data.to_pybytes().translate(PLAIN)), offset=text.offset)

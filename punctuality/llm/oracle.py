@@ -71,9 +71,40 @@ SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_
 FROM parts LEFT JOIN (SELECT doc_id AS id, n FROM sizes) USING (id)
 """
 
+TERMS = "regexp_extract_all({text}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+RESAMPLING = f"""
+WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                   lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+texts AS (SELECT 0 AS side, doc_id, {TERMS.format(text=LOWERED)} AS ws FROM documents
+          UNION ALL SELECT 1, item_id, {TERMS.format(text=LOWERED)} FROM benchmark),
+spots AS (SELECT side, doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM texts),
+uses AS (SELECT side, doc_id, ws[i] AS f FROM spots
+         UNION ALL SELECT side, doc_id, ws[i] || ' ' || ws[i + 1] FROM spots WHERE i < len(ws)),
+digits AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM uses)),
+crcs AS (SELECT f, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(1, length(h), 2),
+             lambda k: (strpos('0123456789ABCDEF', h[k]) - 1) * 16 + strpos('0123456789ABCDEF', h[k + 1]) - 1)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 10000 AS bucket FROM digits, steps),
+counts AS (SELECT bucket, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS s, sum(side) AS t FROM uses JOIN crcs USING (f) GROUP BY bucket),
+totals AS (SELECT CAST(sum(s) AS BIGINT) AS all_s, CAST(sum(t) AS BIGINT) AS all_t FROM counts),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST(((t + 1) * (all_s + 10000)) AS DOUBLE) / CAST(((s + 1) * (all_t + 10000)) AS DOUBLE))) AS BIGINT) AS g
+         FROM counts, totals),
+sums AS (SELECT doc_id, count(*) AS n, CAST(sum(g) AS BIGINT) AS g FROM uses JOIN crcs USING (f) JOIN gain USING (bucket) WHERE side = 0 GROUP BY doc_id),
+weights AS (SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_features,
+                   CASE WHEN n IS NULL THEN 0 ELSE CAST((g - ((g % n) + n) % n) // n AS BIGINT) END AS weight,
+                   CAST('0x' || left(sha256('7:' || doc_id), 8) AS BIGINT) AS h
+            FROM texts LEFT JOIN sums USING (doc_id) WHERE side = 0),
+scored AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM weights),
+placed AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place,
+                  count(*) OVER (PARTITION BY n_words >= 20) AS held FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= 25 * held // 100 THEN place END AS rank FROM placed
+"""
+
 ORACLE: dict[str, str] = {
     "op1_relative_lz": SUBSTRING,
     "op2_reply_trees": CHAT,
     "op5_spherical_cells": EMBEDDINGS,
     "op6_b_bit_minhash": MINHASH,
+    "op12_prefix_crc": RESAMPLING,
 }

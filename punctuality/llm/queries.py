@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, brown, chat, embeddings, minhash, packing, pii, quality, substring, toxicity
+from punctuality.llm import bpe, brown, chat, embeddings, minhash, packing, pii, quality, resampling, substring, toxicity
 from punctuality.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,3 +106,9 @@ def op9_line_first(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack(packing.cut(documents(spark, sf_dir), vocabulary()))
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query
+def op12_prefix_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
