@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, brown, chat, embeddings, minhash, packing, pii, quality, resampling, substring, toxicity
+from punctuality.llm import bpe, brown, chat, embeddings, language, minhash, packing, pii, quality, resampling, substring, toxicity
 from punctuality.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,12 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_prefix_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return resampling.resample(documents(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query
+def op13_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = documents(spark, sf_dir)
+    decoder = language.learned(docs.filter(~held_out))
+    found = language.predict(docs, decoder)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
