@@ -73,6 +73,22 @@ FROM parts LEFT JOIN (SELECT doc_id AS id, n FROM sizes) USING (id)
 
 TERMS = "regexp_extract_all({text}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
+LEXICAL = f"""
+WITH d AS (SELECT doc_id, {TERMS.format(text=LOWERED)} AS ws FROM documents),
+facts AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS uses FROM d WHERE len(ws) > 0),
+asked AS (SELECT item_id, term, count(*) AS times
+          FROM (SELECT item_id, unnest({TERMS.format(text=LOWERED)}) AS term FROM benchmark) GROUP BY item_id, term),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM d)
+       WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, n, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), facts),
+impacts AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // uses))) AS impact
+            FROM tf JOIN weights USING (term), facts),
+scores AS (SELECT item_id, doc_id, CAST(sum(times * impact) AS BIGINT) AS score FROM asked JOIN impacts USING (term) GROUP BY item_id, doc_id),
+placed AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM placed WHERE rank <= 10
+"""
+
 RESAMPLING = f"""
 WITH steps AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
                    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
@@ -106,5 +122,6 @@ ORACLE: dict[str, str] = {
     "op2_reply_trees": CHAT,
     "op5_spherical_cells": EMBEDDINGS,
     "op6_b_bit_minhash": MINHASH,
+    "op11_range_maximum": LEXICAL,
     "op12_prefix_crc": RESAMPLING,
 }

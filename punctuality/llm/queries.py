@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctuality.llm import bpe, brown, chat, embeddings, language, minhash, packing, pii, quality, resampling, substring, toxicity
+from punctuality.llm import bpe, brown, chat, embeddings, language, lexical, minhash, packing, pii, quality, resampling, substring, toxicity
 from punctuality.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +108,12 @@ def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+@query
+def op11_range_maximum(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical.ranked(documents(spark, sf_dir), items).select("item_id", "rank", "doc_id", "score")
+
+
 @query
 def op12_prefix_crc(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
