@@ -14,10 +14,11 @@ from punctuality.config import MatchConfig
 from punctuality.plans import pipeline
 from punctuality.schemas import FEED_COLUMNS
 from punctuality.sources.sinks import clean_feed
-from punctuality.streaming import FILES_PER_BATCH, match_arrivals
+from punctuality.sources.store import Store
+from punctuality.streaming import FILES_PER_BATCH, compact, match_arrivals, replay_mended
 
 STAGES = ("schedule", "passages", "match", "indicators", "exports")
-EXTRA = ("clean", "catalog", "stream")
+EXTRA = ("clean", "catalog", "stream", "replay", "compact")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -30,7 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tolerance-seconds", type=int, default=MatchConfig.tolerance_seconds)
     parser.add_argument("--delay-threshold-minutes", type=float, default=MatchConfig.delay_threshold_minutes)
     parser.add_argument("--collapse-whitespace", action="store_true", help="match stop names across runs of spaces")
-    parser.add_argument("--streamed", action="store_true", help="indicators from the batches of the stream stage")
+    parser.add_argument("--streamed", action="store_true", help="indicators, exports and catalog from the batches of the stream stage")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="snapshot files in a micro-batch")
     parser.add_argument("--database", default="punctuality", help="database of the catalog stage")
     parser.add_argument("--prefix", default="main", help="table prefix of the catalog stage")
@@ -63,8 +64,10 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
         "passages": lambda: pipeline.make_passages(spark, at),
         "match": lambda: pipeline.make_matches(spark, at, config),
         "indicators": lambda: pipeline.make_indicators(spark, at, asked.streamed),
-        "exports": lambda: pipeline.export_reports(spark, at),
-        "catalog": lambda: pipeline.publish_catalog(spark, at, asked.database, asked.prefix),
+        "exports": lambda: pipeline.export_reports(spark, at, asked.streamed),
+        "catalog": lambda: pipeline.publish_catalog(spark, at, asked.database, asked.prefix, streamed=asked.streamed),
+        "replay": lambda: {"mended": replay_mended(spark, at["mended"], at["arrivals"])},
+        "compact": lambda: compact(Store(spark, at["arrivals"])) and None,
         "clean": clean,
         "stream": stream,
     }

@@ -13,7 +13,8 @@ FILE_TIME_FORMAT = "yyyyMMdd_HHmmss"
 
 
 def audit_snapshots(documents: DataFrame) -> DataFrame:
-    """One row per snapshot document: reference and time from its name, visits, usable visits, time range.
+    """One row per snapshot document: reference and time from its name, what its text turned out to be, visits, usable
+    visits, time range. A damaged document has a status that says so, and 0 visits; frames without status give none.
 
     ``cancelled_without_time`` counts cancelled visits that the match drops because they have no expected time.
 
@@ -37,8 +38,10 @@ def audit_snapshots(documents: DataFrame) -> DataFrame:
         return F.coalesce(gone, F.lit(False)) & call["ExpectedDepartureTime"].isNull()
 
     recorded = F.transform(F.col("all_visits"), lambda visit: visit["RecordedAtTime"])
-    return documents.select("source_file", visits.alias("all_visits"), listed.alias("listed")).select(
+    told = ["status"] if "status" in documents.columns else []
+    return documents.select("source_file", *told, visits.alias("all_visits"), listed.alias("listed")).select(
         "source_file",
+        *told,
         F.replace(F.regexp_extract("source_file", FILE_NAME_PATTERN, 1), F.lit("_"), F.lit(":")).alias(
             "monitoring_ref"
         ),

@@ -26,7 +26,7 @@ from punctuality.operators import nearest
 GROUP = ("line_code", "stop_key")
 PLANNED_TIE = ("trip_id", "departure_time", "route_short_name", "stop_name")
 
-# What makes two passages the same observation. Vehicles that agree on all of it become one row.
+# What makes two passages the same observation. Vehicles that agree on all of it become one row.
 PASSAGE_KEY = (
     "source_file",
     "recorded_at_time",

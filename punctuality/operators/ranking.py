@@ -12,9 +12,11 @@ from punctuality.functions import line_title, reason_title
 from punctuality.functions.text import UNKNOWN
 from punctuality.operators.indicators import reason_shares
 
+# Lengths of the report tables, and the columns of a sample.
 TOP_UNITS = 6
 TOP_REASONS = 8
 TOP_SAMPLES = 10
+SAMPLE_COLUMNS = ("line_code", "stop_point_name", "expected_departure_time", "delay_minutes", "disruption_reason")
 
 
 def top_rows(rows: DataFrame, largest: Sequence[str], key: Sequence[str], k: int) -> DataFrame:
@@ -88,11 +90,26 @@ def top_reasons(figures: DataFrame, k: int = TOP_REASONS) -> DataFrame:
     return top_rows(reason_shares(figures), ["events"], ["disruption_reason"], k)
 
 
+def _longest_delays(key: Sequence[str]) -> list[Column]:
+    return [F.col("delay_minutes").desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in key]]
+
+
+def sample_candidates(matched: DataFrame, by: str, k: int = TOP_SAMPLES) -> DataFrame:
+    """The rows that :func:`worst_samples` may list: for each value of ``by`` the ``k`` first of its disrupted observations.
+
+    Candidates of several inputs may be put together and cut again; their worst samples are those of all rows. Every task
+    keeps ``k`` rows a value before the shuffle.
+    """
+    key = [c for c in SAMPLE_COLUMNS if c != "delay_minutes"]
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(*_longest_delays(key)))
+    disrupted = matched.filter("is_disrupted").select(*SAMPLE_COLUMNS, "is_disrupted", by)
+    return disrupted.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank")
+
+
 def worst_samples(matched: DataFrame, k: int = TOP_SAMPLES) -> DataFrame:
-    """Disrupted observations with the longest delays."""
-    shown = ["line_code", "stop_point_name", "expected_departure_time", "delay_minutes", "disruption_reason"]
-    disrupted = matched.filter("is_disrupted").select(*shown)
-    key = [c for c in shown if c != "delay_minutes"]
+    """Disrupted observations with the longest delays, of matched rows or of :func:`sample_candidates`."""
+    disrupted = matched.filter("is_disrupted").select(*SAMPLE_COLUMNS)
+    key = [c for c in SAMPLE_COLUMNS if c != "delay_minutes"]
     return top_rows(disrupted, ["delay_minutes"], key, k).withColumn(
         "disruption_reason", reason_title(F.col("disruption_reason"))
     )

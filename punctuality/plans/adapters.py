@@ -8,7 +8,7 @@ observation's stop comes from the whole table of stops.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctuality.operators.passages import build_passages
@@ -158,6 +158,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gathered.select("source_file", F.to_json(siri).alias("document"))
 
 
+def document_number() -> Column:
+    """The number of a document in its file name."""
+    return F.regexp_extract("source_file", r"_Q_(\d+)__", 1).cast("bigint")
+
+
+def damaged(documents: DataFrame) -> DataFrame:
+    """The documents with their number, their text as it should be in ``whole``, and as it arrives in ``document``: four of
+    five are cut off in the middle, another text, a list, or a space."""
+    text = F.col("document")
+    arrived = (
+        F.when(F.col("number") % 5 == 1, F.substring(text, F.lit(1), F.floor(F.length(text) / 2).cast("int")))
+        .when(F.col("number") % 5 == 2, F.concat(F.lit("HTTP 502 "), F.col("source_file")))
+        .when(F.col("number") % 5 == 3, F.concat(F.lit("["), text, F.lit("]")))
+        .when(F.col("number") % 5 == 4, F.lit(" "))
+        .otherwise(text)
+    )
+    return documents.withColumns({"number": document_number(), "whole": text}).withColumn("document", arrived)
+
+
 def snapshot_folder(spark: SparkSession, sf_dir: str) -> str:
     """Write the documents as snapshot files into a new folder."""
     folder = new_folder(spark, "snapshots")

@@ -441,4 +441,31 @@ ORACLE: dict[str, str] = {
         [TABLES, PASSAGES], "SELECT * EXCLUDE (document, recorded_at_ts, expected_departure_ts) FROM passages"
     ),
     "incremental_indicators": sql([*VERDICT, by_line()], "SELECT * FROM lines"),
+    "compacted_indicators": sql([*VERDICT, by_line()], "SELECT * FROM lines"),
+    "catalog_days": sql(
+        VERDICT,
+        """
+        SELECT strftime(expected_departure_ts - INTERVAL 4 HOUR, '%Y-%m-%d') AS service_date, count(*) AS rows,
+               CAST(sum(CAST(round(delay_minutes * 100) AS BIGINT)) AS BIGINT) AS delay_hundredths,
+               count(DISTINCT number >= half) AS times_written
+        FROM (SELECT *, CAST(regexp_extract(source_file, '_Q_([0-9]+)__', 1) AS BIGINT) AS number FROM matched),
+             (SELECT (max(document) + 1) // 2 AS half FROM visits)
+        GROUP BY ALL
+        """,
+    ),
+    "snapshot_quarantine": sql(
+        VERDICT,
+        """
+        SELECT source_file,
+               CASE document % 5 WHEN 0 THEN 'ok' WHEN 3 THEN 'not_an_object' WHEN 4 THEN 'empty' ELSE 'unreadable' END AS first_status,
+               CAST(CASE WHEN mended THEN 2 ELSE 1 END AS BIGINT) AS times_taken,
+               CASE WHEN NOT mended THEN CASE document % 5 WHEN 1 THEN '{"Siri":' WHEN 2 THEN 'HTTP 502' WHEN 3 THEN '[{"Siri"' WHEN 4 THEN ' ' END END
+                   AS quarantined_text,
+               CASE WHEN document % 5 = 0 OR mended THEN coalesce(n, 0) ELSE 0 END AS matched_rows
+        FROM (SELECT source_file, document, document % 5 <> 0 AND document % 10 >= 5 AS mended FROM visits GROUP BY ALL)
+        LEFT JOIN (SELECT source_file, count(*) AS n FROM matched GROUP BY source_file) USING (source_file)
+        """,
+    ),
 }
+
+ORACLE["stream_worst_samples"] = ORACLE["worst_samples"]

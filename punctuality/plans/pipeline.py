@@ -17,9 +17,9 @@ from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.sources import catalog
 from punctuality.sources.sinks import export_report, write_parquet
-from punctuality.sources.snapshots import read_snapshots
+from punctuality.sources.store import Store
 from punctuality.sources.tables import read_feed, read_parquet
-from punctuality.streaming import read_rollups
+from punctuality.streaming import collect_arrivals, read_documents, read_rollups, read_samples
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,7 @@ class Layout:
 FOLDERS = {
     "feed": "raw/gtfs",
     "snapshots": "raw/realtime",
+    "mended": "raw/mended",
     "schedule": "processed/gtfs/gtfs_schedule.parquet",
     "spans": "processed/gtfs/departure_spans.parquet",
     "passages": "processed/realtime/realtime_passages.parquet",
@@ -68,8 +69,10 @@ def make_schedule(spark: SparkSession, at: Layout, config: MatchConfig = MatchCo
 
 
 def make_passages(spark: SparkSession, at: Layout) -> dict[str, int]:
-    """Snapshot files → passages."""
-    found = build_passages(flatten_snapshots(read_snapshots(spark, at["snapshots"])))
+    """Snapshot files → documents → passages. A file is opened once, by this stage or by the stream: both share the
+    documents and the record of what is taken. Damaged files are set aside, see :func:`punctuality.streaming.read_quarantine`."""
+    collect_arrivals(spark, at["snapshots"], at["arrivals"], at["arrivals_state"]).awaitTermination()
+    found = build_passages(flatten_snapshots(read_documents(spark, at["arrivals"])))
     return {"passages": write_parquet(found, at["passages"])}
 
 
@@ -96,28 +99,37 @@ def make_indicators(spark: SparkSession, at: Layout, streamed: bool = False) ->
     return rows
 
 
-def reports(spark: SparkSession, at: Layout) -> dict[str, DataFrame]:
-    """The report tables by export name, all of a handful of rows."""
+def reports(spark: SparkSession, at: Layout, streamed: bool = False) -> dict[str, DataFrame]:
+    """The report tables by export name, all of a handful of rows. With ``streamed`` the samples come from what the stream's
+    batches have left, as the figures do."""
     figures = read_parquet(spark, at["rollup"])
+    observed = read_samples(spark, at["arrivals"]) if streamed else read_parquet(spark, at["matched"])
     return {
         "network_overview": indicators.network_kpis(figures),
         "top_lines": ranking.top_lines(read_parquet(spark, at["line_performance"])),
         "top_stops": ranking.top_stops(read_parquet(spark, at["stop_performance"])),
         "disruption_reasons": ranking.top_reasons(figures),
-        "sample_disruptions": ranking.worst_samples(read_parquet(spark, at["matched"])),
+        "sample_disruptions": ranking.worst_samples(observed),
     }
 
 
-def export_reports(spark: SparkSession, at: Layout) -> None:
+def export_reports(spark: SparkSession, at: Layout, streamed: bool = False) -> None:
     """Report tables → CSV."""
-    for name, rows in reports(spark, at).items():
+    for name, rows in reports(spark, at, streamed).items():
         export_report(rows, f"{at['exports']}/{name}.csv")
 
 
-def publish_catalog(spark: SparkSession, at: Layout, database: str, prefix: str, place: str | None = None) -> None:
-    """Datasets → catalog tables."""
+def publish_catalog(
+    spark: SparkSession, at: Layout, database: str, prefix: str, place: str | None = None, streamed: bool = False
+) -> None:
+    """Datasets → catalog tables. With ``streamed`` the stream's matches go to a table by service date, of which only the
+    dates that changed are reloaded; the indicators are small and reloaded whole."""
     catalog.create_database(spark, database, place)
-    locations = {"matched_observations": at["matched"]} | {name: at[name] for name in INDICATORS}
+    locations = {name: at[name] for name in INDICATORS}
+    if streamed:
+        catalog.publish_days(Store(spark, at["arrivals"]), "matched", database, prefix)
+    else:
+        locations["matched_observations"] = at["matched"]
     catalog.publish(spark, database, prefix, locations)
 
 

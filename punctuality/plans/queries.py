@@ -20,7 +20,19 @@ from punctuality.plans import adapters
 from punctuality.plans.files import write_files
 from punctuality.sources import catalog, sinks, snapshots, tables
 from punctuality.sources.scratch import new_folder
-from punctuality.streaming import match_arrivals, read_matches, read_passages, read_rollups
+from punctuality.sources.store import DATE, Store
+from punctuality.streaming import (
+    compact,
+    match_arrivals,
+    match_waiting,
+    read_documents,
+    read_matches,
+    read_passages,
+    read_quarantine,
+    read_rollups,
+    read_samples,
+    replay_mended,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -337,9 +349,8 @@ def sql_reasons(spark, sf_dir):
 @query
 def ingest_audit(spark, sf_dir):
     documents = snapshots.read_snapshots(spark, adapters.snapshot_folder(spark, sf_dir))
-    return audit.audit_snapshots(documents).withColumn(
-        "collected_at", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss")
-    )
+    found = audit.audit_snapshots(documents).drop("status")
+    return found.withColumn("collected_at", F.date_format("collected_at", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query
@@ -369,17 +380,17 @@ def zone_seconds(spark, sf_dir):
     )
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with what a stream has made of snapshots that arrive in two drops."""
+def _streamed(spark: SparkSession, sf_dir: str, drops: int = 2, after: Callable[[str], None] = lambda output: None) -> str:
+    """Folder with what a stream has made of snapshots that arrive in several drops; ``after`` is called after each."""
     arriving, output, checkpoint, spans = (
         new_folder(spark, purpose) for purpose in ("arriving", "stream-out", "stream-state", "spans")
     )
     sinks.write_parquet(matching.departure_spans(_departures(spark, sf_dir)), spans)
     documents = adapters.documents(spark, sf_dir)
-    early = F.crc32("source_file") % 2 == 0
-    for drop in (early, ~early):
-        write_files(documents.filter(drop), arriving)
+    for drop in range(drops):
+        write_files(documents.filter(F.crc32("source_file") % drops == drop), arriving)
         match_arrivals(spark, arriving, spans, output, checkpoint).awaitTermination()
+        after(output)
     return output
 
 
@@ -399,3 +410,80 @@ def stream_passages(spark, sf_dir):
 def incremental_indicators(spark, sf_dir):
     """Line performance from the rollups of the batches, each made of its own drop alone."""
     return indicators.line_performance(read_rollups(spark, _streamed(spark, sf_dir)))
+
+
+@query
+def compacted_indicators(spark, sf_dir):
+    """Line performance from rollups of three drops, each date made one part after the second and the third."""
+    output = _streamed(spark, sf_dir, 3, lambda output: compact(Store(spark, output), 1) and None)
+    return indicators.line_performance(read_rollups(spark, output))
+
+
+@query
+def stream_worst_samples(spark, sf_dir):
+    """The worst samples from what each of three drops left of them, two of them merged; no matched row is read."""
+    merged = []
+
+    def after(output: str) -> None:
+        merged.append(output)
+        if len(merged) == 2:
+            compact(Store(spark, output), 1)
+
+    return ranking.worst_samples(read_samples(spark, _streamed(spark, sf_dir, 3, after)))
+
+
+@query
+def catalog_days(spark, sf_dir):
+    """Matches published after each of two drops, an earlier and a later half: rows and sums of the managed table by date, and
+    how often a date was rewritten."""
+    database, written = f"punctuality_{uuid.uuid4().hex}", []
+    arriving, output, checkpoint, spans, place = (
+        new_folder(spark, purpose) for purpose in ("arriving", "stream-out", "stream-state", "spans", "warehouse")
+    )
+    catalog.create_database(spark, database, place)
+    sinks.write_parquet(matching.departure_spans(_departures(spark, sf_dir)), spans)
+    documents = adapters.documents(spark, sf_dir)
+    numbered = adapters.documents(spark, sf_dir).withColumn("number", adapters.document_number())
+    half = numbered.agg(F.floor((F.max("number") + 1) / 2)).first()[0]
+    late = adapters.document_number() >= F.lit(half)
+    for drop in (~late, late):
+        write_files(documents.filter(drop), arriving)
+        match_arrivals(spark, arriving, spans, output, checkpoint).awaitTermination()
+        written += catalog.publish_days(Store(spark, output), "matched", database, "demo")
+    times = spark.createDataFrame([(day, written.count(day)) for day in set(written)], f"{DATE} string, times_written bigint")
+    managed = spark.table(catalog.managed_table(database, "demo", "daily_observations"))
+    found = managed.groupBy(DATE).agg(F.count(F.lit(1)).alias("rows"), F.sum(_hundredths("delay_minutes")).alias("delay_hundredths"))
+    return found.join(F.broadcast(times), DATE)
+
+
+@query
+def snapshot_quarantine(spark, sf_dir):
+    """Drops with files cut off, files of other text, lists and empty files; every second damaged one comes again, mended.
+
+    By file: what it was at first, how often it was taken, the beginning of its text if it is in quarantine at the end, and the
+    matched rows.
+    """
+    arriving, mended, output, checkpoint, spans = (
+        new_folder(spark, purpose) for purpose in ("arriving", "mended", "stream-out", "stream-state", "spans")
+    )
+    sinks.write_parquet(matching.departure_spans(_departures(spark, sf_dir)), spans)
+    documents = adapters.damaged(adapters.documents(spark, sf_dir))
+    for early in (True, False):
+        write_files(documents.filter((F.crc32("source_file") % 2 == 0) == early), arriving)
+        match_arrivals(spark, arriving, spans, output, checkpoint).awaitTermination()
+    write_files(documents.filter("number % 10 >= 5").select("source_file", F.col("whole").alias("document")), mended)
+    replay_mended(spark, mended, output)
+    match_waiting(Store(spark, output), spans)
+    first = read_documents(spark, output).groupBy("source_file").agg(
+        F.max(F.when(F.col("status") != "ok", F.col("status"))).alias("damage"), F.count(F.lit(1)).alias("times_taken")
+    )
+    held = read_quarantine(spark, output).select("source_file", F.substring("document", 1, 8).alias("quarantined_text"))
+    rows = read_matches(spark, output).groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+    found = first.join(held, "source_file", "left").join(rows, "source_file", "left")
+    return found.select(
+        "source_file",
+        F.coalesce("damage", F.lit("ok")).alias("first_status"),
+        "times_taken",
+        "quarantined_text",
+        F.coalesce("rows", F.lit(0)).alias("matched_rows"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType, TimestampType
 
 # Feed columns that are read; a feed may carry more, in any order.
 FEED_COLUMNS = {
@@ -78,6 +78,30 @@ SNAPSHOT = _struct(
     ),
 )
 
+# A snapshot file as it is kept after its first reading: parsed, or with its text where that could not be read whole.
+DOCUMENTS = StructType(
+    [
+        StructField("source_file", _TEXT),
+        StructField("bytes", LongType()),
+        StructField("modified_at", TimestampType()),
+        StructField("status", _TEXT),
+        StructField("document", _TEXT),
+        *SNAPSHOT.fields,
+    ]
+)
+
+# Additive figures of matched rows by line, stop and reason.
+ROLLUP = (
+    "line_code string, route_short_name string, stop_point_name string, disruption_reason string, "
+    "observations bigint, delay_hundredths bigint, delayed bigint, disrupted bigint, cancelled bigint"
+)
+
+# What is kept of a disrupted observation that may be listed as a sample.
+SAMPLES = (
+    "line_code string, stop_point_name string, expected_departure_time string, delay_minutes double, "
+    "is_disrupted boolean, disruption_reason string"
+)
+
 # One entry of a collection report; a report file is a JSON list of these.
 COLLECTION_REPORT = (
     "monitoring_ref string, status_code int, nb_passages bigint, ok boolean, snapshot_file string, "

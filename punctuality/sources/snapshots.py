@@ -1,4 +1,4 @@
-"""Snapshot documents: one multi-line JSON document per file."""
+"""Snapshot documents: one JSON document per file, read as a whole text so that what cannot be parsed is kept."""
 
 from __future__ import annotations
 
@@ -6,29 +6,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from punctuality.schemas import COLLECTION_REPORT, SNAPSHOT
+from punctuality.operators.documents import examine
+from punctuality.schemas import COLLECTION_REPORT
 
 # Snapshot and report files share a folder and are told apart by name.
 SNAPSHOT_FILES = "snapshot_*.json"
 REPORT_FILES = "collection_report_*.json"
 
 
-def _with_file_name(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("_metadata.file_name").alias("source_file"), "*")
+def _named(texts: DataFrame) -> DataFrame:
+    return texts.select(
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.col("_metadata.file_modification_time").alias("modified_at"),
+        F.col("value").alias("document"),
+    )
 
 
-def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
-    """All snapshot documents of a folder with the base name of their file."""
-    reader = spark.read.schema(SNAPSHOT).options(multiLine=True, pathGlobFilter=SNAPSHOT_FILES)
-    return _with_file_name(reader.json(folder))
+def read_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """All snapshot files of a folder, one row each: base name, size, time and text."""
+    return _named(spark.read.option("pathGlobFilter", SNAPSHOT_FILES).text(folder, wholetext=True))
 
 
-def follow_snapshots(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """Streaming version of :func:`read_snapshots`: each file is delivered once, whole, in one micro-batch."""
-    reader = spark.readStream.schema(SNAPSHOT).options(multiLine=True, pathGlobFilter=SNAPSHOT_FILES)
+def follow_texts(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming version of :func:`read_texts`: each file is delivered once, whole, in one micro-batch."""
+    reader = spark.readStream.option("pathGlobFilter", SNAPSHOT_FILES)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return _with_file_name(reader.json(folder))
+    return _named(reader.text(folder, wholetext=True))
+
+
+def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """All snapshot documents of a folder with the base name of their file and what they turned out to be."""
+    return examine(read_texts(spark, folder)).select("source_file", "status", "Siri")
 
 
 def read_collection_reports(spark: SparkSession, folder: str) -> DataFrame:

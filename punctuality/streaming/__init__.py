@@ -1,5 +1,31 @@
 """Incremental runs over snapshots as they arrive."""
 
-from punctuality.streaming.match import FILES_PER_BATCH, match_arrivals, read_matches, read_passages, read_rollups
+from punctuality.streaming.match import (
+    FILES_PER_BATCH,
+    collect_arrivals,
+    compact,
+    match_arrivals,
+    match_waiting,
+    read_documents,
+    read_matches,
+    read_passages,
+    read_quarantine,
+    read_rollups,
+    read_samples,
+    replay_mended,
+)
 
-__all__ = ["FILES_PER_BATCH", "match_arrivals", "read_matches", "read_passages", "read_rollups"]
+__all__ = [
+    "FILES_PER_BATCH",
+    "collect_arrivals",
+    "compact",
+    "match_arrivals",
+    "match_waiting",
+    "read_documents",
+    "read_matches",
+    "read_passages",
+    "read_quarantine",
+    "read_rollups",
+    "read_samples",
+    "replay_mended",
+]
