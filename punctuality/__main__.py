@@ -15,10 +15,10 @@ from punctuality.plans import pipeline
 from punctuality.schemas import FEED_COLUMNS
 from punctuality.sources.sinks import clean_feed
 from punctuality.sources.store import Store
-from punctuality.streaming import FILES_PER_BATCH, compact, match_arrivals, replay_mended
+from punctuality.streaming import FILES_PER_BATCH, compact, match_arrivals, rematch, replay_mended
 
 STAGES = ("schedule", "passages", "match", "indicators", "exports")
-EXTRA = ("clean", "catalog", "stream", "replay", "compact")
+EXTRA = ("clean", "catalog", "stream", "replay", "rematch", "compact")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -33,6 +33,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--collapse-whitespace", action="store_true", help="match stop names across runs of spaces")
     parser.add_argument("--streamed", action="store_true", help="indicators, exports and catalog from the batches of the stream stage")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="snapshot files in a micro-batch")
+    parser.add_argument("--valid-from", help="first service date of the schedule that is loaded; all dates if left out")
     parser.add_argument("--database", default="punctuality", help="database of the catalog stage")
     parser.add_argument("--prefix", default="main", help="table prefix of the catalog stage")
     return parser.parse_args(argv)
@@ -60,13 +61,14 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
             print(f"{source}: {error or 'cleaned'}")
 
     actions = {
-        "schedule": lambda: pipeline.make_schedule(spark, at, config),
+        "schedule": lambda: pipeline.make_schedule(spark, at, config, asked.valid_from),
         "passages": lambda: pipeline.make_passages(spark, at),
         "match": lambda: pipeline.make_matches(spark, at, config),
         "indicators": lambda: pipeline.make_indicators(spark, at, asked.streamed),
         "exports": lambda: pipeline.export_reports(spark, at, asked.streamed),
         "catalog": lambda: pipeline.publish_catalog(spark, at, asked.database, asked.prefix, streamed=asked.streamed),
         "replay": lambda: {"mended": replay_mended(spark, at["mended"], at["arrivals"])},
+        "rematch": lambda: rematch(Store(spark, at["arrivals"]), at["spans"], config) and None,
         "compact": lambda: compact(Store(spark, at["arrivals"])) and None,
         "clean": clean,
         "stream": stream,

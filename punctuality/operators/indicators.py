@@ -30,8 +30,16 @@ def rollup(matched: DataFrame, *by: str) -> DataFrame:
 
 
 def added(figures: DataFrame, *key: str) -> DataFrame:
-    """Figures of a rollup summed up by ``key``."""
-    return figures.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
+    """Figures of a rollup summed up by ``key``. A group whose observations were all taken back is none."""
+    summed = figures.groupBy(*key).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
+    return summed.filter("observations <> 0") if key else summed
+
+
+def corrections(wrong: DataFrame, right: DataFrame, *by: str) -> DataFrame:
+    """Figures that, added to those of a rollup, put ``right`` matched rows in the place of ``wrong`` ones."""
+    taken_back = rollup(wrong, *by).withColumns({c: -F.col(c) for c in ROLLUP_SUMS})
+    summed = taken_back.unionByName(rollup(right, *by)).groupBy(*ROLLUP_KEY, *by).agg(*[F.sum(c).alias(c) for c in ROLLUP_SUMS])
+    return summed.filter(" or ".join(f"{c} <> 0" for c in ROLLUP_SUMS))
 
 
 def _rate(hits: str) -> Column:
@@ -66,7 +74,7 @@ def stop_performance(figures: DataFrame) -> DataFrame:
 
 def disruption_reasons(figures: DataFrame) -> DataFrame:
     """How often each reason occurs, the normal one included."""
-    return figures.groupBy("disruption_reason").agg(F.sum("observations").alias("events"))
+    return figures.groupBy("disruption_reason").agg(F.sum("observations").alias("events")).filter("events <> 0")
 
 
 def network_overview(figures: DataFrame) -> DataFrame:
@@ -81,8 +89,9 @@ def network_overview(figures: DataFrame) -> DataFrame:
 
 def network_kpis(figures: DataFrame) -> DataFrame:
     """One row for the network with exact numbers of lines and stops, and rates that are 0 without observations."""
-    # Lines and stops are told apart on the rollup, so the distinct counts never touch the matched rows.
-    row = figures.agg(
+    # Lines and stops are told apart on the rollup, so the distinct counts never touch the matched rows. Rows that were taken
+    # back by later ones must not count, so the rollup's rows are added up by line and stop first.
+    row = added(figures, "line_code", "stop_point_name").agg(
         F.coalesce(F.sum("observations"), F.lit(0)).alias("total_observations"),
         F.count_distinct("line_code").alias("distinct_lines"),
         F.count_distinct("stop_point_name").alias("distinct_stops"),

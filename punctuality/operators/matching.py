@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
@@ -16,6 +17,7 @@ from punctuality.functions import (
     flags_of,
     reason,
     report_code,
+    service_date,
     service_day_seconds,
     stop_key,
     unreported,
@@ -118,18 +120,86 @@ def departure_spans(schedule: DataFrame, config: MatchConfig = MatchConfig()) ->
     return spans.withMetadata("bucket", nearest.made_under(spans) | _span_parameters(config))
 
 
+def _checked(spans: DataFrame, config: MatchConfig) -> dict[str, int]:
+    """The parameters spans were made under, which must be those of the config."""
+    made = nearest.made_under(spans)
+    differing = {name: made.get(name) for name, value in _span_parameters(config).items() if made.get(name) != value}
+    if differing:
+        raise ValueError(f"spans were made under another config: {differing}")
+    return made
+
+
 def match_to_spans(passages: DataFrame, spans: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """Passages with their planned departure, given :func:`departure_spans` made under the same config.
 
     Spans made under other parameters are refused; their bucket width is taken as it is.
     """
-    made = nearest.made_under(spans)
-    differing = {name: made.get(name) for name, value in _span_parameters(config).items() if made.get(name) != value}
-    if differing:
-        raise ValueError(f"spans were made under another config: {differing}")
+    _checked(spans, config)
     return nearest.join_spans(observed_departures(passages, config), spans, GROUP, "expected_seconds")
 
 
+def match_to_loads(
+    passages: DataFrame, loads: Sequence[tuple[str | None, DataFrame]], config: MatchConfig = MatchConfig()
+) -> DataFrame:
+    """:func:`match_to_spans` with the spans of each passage's service date.
+
+    ``loads`` are pairs of a date and the spans that hold from it on, until the next one's date; no two dates are equal, and
+    None is before all others. Passages of an earlier date than the first have no match. All loads meet the passages
+    in one join, whose key has the number of the load, so a passage still finds at most one span.
+    """
+    if not loads:
+        raise ValueError("no spans to match to")
+    loads = sorted(loads, key=lambda load: load[0] or "")
+    if len({date for date, _ in loads}) < len(loads):
+        raise ValueError("two loads for one date")
+    made = {tuple(sorted(_checked(spans, config).items())) for _, spans in loads}
+    if len(made) > 1:
+        raise ValueError("spans were made under several bucket widths")
+    numbered = [spans.withColumn("load", F.lit(n)) for n, (_, spans) in enumerate(loads)]
+    spans = reduce(DataFrame.unionByName, numbered).withMetadata("bucket", dict(made.pop()))
+    day = service_date(F.col("expected_departure_ts"), config.rollover_hour, config.time_zone).cast("string")
+    starts = F.array(*[F.lit(date or "") for date, _ in loads])
+    number = F.array_size(F.filter(starts, lambda start: start <= day)) - 1
+    observed = observed_departures(passages, config).withColumn("load", number)
+    return nearest.join_spans(observed, spans, (*GROUP, "load"), "expected_seconds").drop("load")
+
+
+def changed_spans(old: DataFrame, new: DataFrame) -> DataFrame:
+    """The spans of seconds, by line, stop and bucket, in which two sets of spans do not give the same planned departure.
+
+    Spans are compared within each bucket, so one that has become longer or shorter differs in the buckets of its end alone.
+    """
+    made = nearest.made_under(old)
+    if made != nearest.made_under(new):
+        raise ValueError("spans were made under different parameters")
+    border = F.col("bucket") * made["bucket"]
+    inside = {
+        "span_start": F.greatest("span_start", border),
+        "span_end": F.least("span_end", border + (made["bucket"] - 1)),
+    }
+    both = old.withColumn("side", F.lit(1)).unionByName(new.withColumn("side", F.lit(-1))).withColumns(inside)
+    differing = both.groupBy(*old.columns).agg(F.sum("side").alias("side")).filter("side <> 0")
+    places = differing.select(*GROUP, "bucket", "span_start", "span_end").distinct()
+    return places.withMetadata("bucket", made)
+
+
+def hit_by(rows: DataFrame, spans: DataFrame, config: MatchConfig = MatchConfig(), missed: bool = False) -> DataFrame:
+    """The passages or matched rows whose expected time lies in one of the spans; with ``missed`` all others.
+
+    Whether a row is hit hangs on its line, stop and expected time alone, so an observation's passages and its match agree.
+    """
+    seconds = service_day_seconds(F.col("expected_departure_ts"), config.rollover_hour, config.time_zone)
+    width = nearest.made_under(spans)["bucket"]
+    keys = {
+        "stop_key": stop_key(F.col("stop_point_name"), config.collapse_whitespace),
+        "bucket": F.floor(seconds / width).cast("int"),
+    }
+    o, s = rows.withColumns(keys | {"expected_seconds": seconds}).alias("o"), spans.alias("s")
+    same_cell = [F.col(f"o.{c}") == F.col(f"s.{c}") for c in (*GROUP, "bucket")]
+    within = F.col("o.expected_seconds").between(F.col("s.span_start"), F.col("s.span_end"))
+    return o.join(s, [*same_cell, within], "left_anti" if missed else "left_semi").select(*rows.columns)
+
+
 def match_passages(passages: DataFrame, schedule: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """Passages with their planned departure."""
     return match_to_spans(passages, departure_spans(schedule, config), config)

@@ -126,7 +126,7 @@ placed AS (
 """
 
 
-def matches(tolerance: int) -> str:
+def matches(tolerance: int, holds: str = "TRUE") -> str:
     return f"""
 ranked AS (
     SELECT placed.*, trip_id, departure_time, route_short_name, planned_seconds,
@@ -137,7 +137,7 @@ ranked AS (
                         route_short_name NULLS FIRST, stop_name,
                         CASE WHEN is_cancelled THEN 0 WHEN is_cancelled IS NULL THEN 1 ELSE 2 END,
                         CASE WHEN is_unreported THEN 0 WHEN is_unreported IS NULL THEN 1 ELSE 2 END) AS place
-    FROM placed JOIN planned USING (line_code, stop_key)),
+    FROM placed JOIN planned USING (line_code, stop_key) WHERE {holds}),
 nearest AS (
     SELECT * FROM ranked WHERE place = 1 AND abs(expected_seconds - planned_seconds) <= {tolerance})
 """
@@ -214,6 +214,7 @@ observations, avg_delay_minutes, delay_rate_pct, disruption_rate_pct
 TOP_LINES = most_disrupted("lines", LINE_SHOWN, "line_code NULLS FIRST, route_short_name NULLS FIRST")
 TOP_STOPS = most_disrupted("stop_rows", "*", "stop_point_name NULLS FIRST")
 
+ODD_TRIPS_LATER = "CAST(expected_departure_ts - INTERVAL 4 HOUR AS DATE) < DATE '2024-01-16' OR CAST(trip_id AS BIGINT) % 2 = 1"
 MATCH = [TABLES, SCHEDULE, PASSAGES, matches(7200)]
 VERDICT = [*MATCH, MATCHED]
 MATCH_COLUMNS = """
@@ -442,6 +443,8 @@ ORACLE: dict[str, str] = {
     ),
     "incremental_indicators": sql([*VERDICT, by_line()], "SELECT * FROM lines"),
     "compacted_indicators": sql([*VERDICT, by_line()], "SELECT * FROM lines"),
+    "schedule_versions": sql([TABLES, SCHEDULE, PASSAGES, matches(7200, ODD_TRIPS_LATER)], MATCH_COLUMNS),
+    "rematched_indicators": sql([TABLES, SCHEDULE, PASSAGES, matches(7200, ODD_TRIPS_LATER), MATCHED, by_line()], "SELECT * FROM lines"),
     "catalog_days": sql(
         VERDICT,
         """

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from punctuality.config import MatchConfig
 from punctuality.operators import indicators, ranking
-from punctuality.operators.matching import departure_spans, judge, match_to_spans
+from punctuality.operators.matching import judge, match_to_loads
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.sources import catalog
 from punctuality.sources.sinks import export_report, write_parquet
+from punctuality.sources.schedules import load_schedule, read_loads
 from punctuality.sources.store import Store
 from punctuality.sources.tables import read_feed, read_parquet
 from punctuality.streaming import collect_arrivals, read_documents, read_rollups, read_samples
@@ -60,12 +61,16 @@ INDICATORS = {
 }
 
 
-def make_schedule(spark: SparkSession, at: Layout, config: MatchConfig = MatchConfig()) -> dict[str, int]:
-    """Feed tables → schedule, and the spans that every match run needs from it."""
+def make_schedule(
+    spark: SparkSession, at: Layout, config: MatchConfig = MatchConfig(), valid_from: str | None = None
+) -> dict[str, int]:
+    """Feed tables → schedule, and a load of the spans that every match run needs from it, which holds from a service date on.
+
+    Loads before it stay as they are, so a stream or a match that reads them is not disturbed.
+    """
     feed = read_feed(spark, at["feed"])
     rows = {"schedule": write_parquet(build_schedule(**feed), at["schedule"])}
-    spans = departure_spans(read_parquet(spark, at["schedule"]), config)
-    return rows | {"spans": write_parquet(spans, at["spans"])}
+    return rows | {"spans": load_schedule(read_parquet(spark, at["schedule"]), at["spans"], valid_from, config).rows}
 
 
 def make_passages(spark: SparkSession, at: Layout) -> dict[str, int]:
@@ -78,7 +83,8 @@ def make_passages(spark: SparkSession, at: Layout) -> dict[str, int]:
 
 def make_matches(spark: SparkSession, at: Layout, config: MatchConfig = MatchConfig()) -> dict[str, int]:
     """Passages and spans → matched observations. The config must be the one the spans were made under."""
-    matches = match_to_spans(read_parquet(spark, at["passages"]), read_parquet(spark, at["spans"]), config)
+    loads = [(load.valid_from, load.spans) for load in read_loads(spark, at["spans"])]
+    matches = match_to_loads(read_parquet(spark, at["passages"]), loads, config)
     return {"matched": write_parquet(judge(matches, config), at["matched"])}
 
 

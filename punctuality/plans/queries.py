@@ -18,7 +18,7 @@ from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.plans import adapters
 from punctuality.plans.files import write_files
-from punctuality.sources import catalog, sinks, snapshots, tables
+from punctuality.sources import catalog, schedules, sinks, snapshots, tables
 from punctuality.sources.scratch import new_folder
 from punctuality.sources.store import DATE, Store
 from punctuality.streaming import (
@@ -31,6 +31,7 @@ from punctuality.streaming import (
     read_quarantine,
     read_rollups,
     read_samples,
+    rematch,
     replay_mended,
 )
 
@@ -432,6 +433,35 @@ def stream_worst_samples(spark, sf_dir):
     return ranking.worst_samples(read_samples(spark, _streamed(spark, sf_dir, 3, after)))
 
 
+@query
+def schedule_versions(spark, sf_dir):
+    """Three loads of the schedule: all trips from the beginning; from a later date trips of even number, and then, in the place
+    of that load, trips of odd number. Passages are matched to the load of their service date."""
+    planned, path = _departures(spark, sf_dir), f"{new_folder(spark, 'schedules')}/spans"
+    schedules.load_schedule(planned, path)
+    for rest in (0, 1):
+        schedules.load_schedule(planned.filter(F.col("trip_id").cast("bigint") % 2 == rest), path, "2024-01-16")
+    loads = [(load.valid_from, load.spans) for load in schedules.read_loads(spark, path)]
+    return matching.match_to_loads(adapters.passages(spark, sf_dir), loads).select(*MATCH_COLUMNS)
+
+
+@query
+def rematched_indicators(spark, sf_dir):
+    """Line performance after a load for later dates leaves only trips of odd number, and the passages it touches are matched
+    again."""
+    planned = _departures(spark, sf_dir)
+    arriving, output, checkpoint, root = (
+        new_folder(spark, purpose) for purpose in ("arriving", "stream-out", "stream-state", "schedules")
+    )
+    path = f"{root}/spans"
+    schedules.load_schedule(planned, path)
+    write_files(adapters.documents(spark, sf_dir), arriving)
+    match_arrivals(spark, arriving, path, output, checkpoint).awaitTermination()
+    schedules.load_schedule(planned.filter(F.col("trip_id").cast("bigint") % 2 == 1), path, "2024-01-16")
+    rematch(Store(spark, output), path)
+    return indicators.line_performance(read_rollups(spark, output))
+
+
 @query
 def catalog_days(spark, sf_dir):
     """Matches published after each of two drops, an earlier and a later half: rows and sums of the managed table by date, and

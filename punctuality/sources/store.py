@@ -87,7 +87,7 @@ class Store:
     def read(self, dataset: str, layout: str | StructType, parts: Iterable[Part] | None = None) -> DataFrame:
         """Rows of the live parts of a dataset, or of the given ones, with their date. Files are not listed beyond these."""
         layout = StructType.fromDDL(layout) if isinstance(layout, str) else layout
-        folders = [part.folder for part in (self.manifest().of(dataset) if parts is None else parts)]
+        folders = [part.folder for part in (self.manifest().of(dataset) if parts is None else parts) if part.rows]
         if not folders:
             return self.spark.createDataFrame([], StructType([f for f in layout.fields if f.name != DATE]).add(DATE, "string"))
         reader = self.spark.read.schema(layout).option("basePath", f"{self.root}/{dataset}")
@@ -119,8 +119,10 @@ class Store:
         kept = [self.manifest(version) for version in known[-keep:]]
         live = {part.folder for manifest in kept for part in manifest.parts}
         gone = 0
-        for dataset in {part.dataset for version in known for part in self.manifest(version).parts}:
+        for dataset in files.listed(self.spark, self.root):
             for name in files.listed(self.spark, f"{self.root}/{dataset}"):
+                if not name.startswith("part="):
+                    continue
                 inside = [f"{dataset}/{name}/{date}" for date in files.listed(self.spark, f"{self.root}/{dataset}/{name}") if date.startswith(DATE)]
                 dead = [folder for folder in inside if folder not in live]
                 for folder in [f"{dataset}/{name}"] if len(dead) == len(inside) else dead:

@@ -14,6 +14,7 @@ from punctuality.streaming.match import (
     read_samples,
     replay_mended,
 )
+from punctuality.streaming.rematch import rematch
 
 __all__ = [
     "FILES_PER_BATCH",
@@ -27,5 +28,6 @@ __all__ = [
     "read_quarantine",
     "read_rollups",
     "read_samples",
+    "rematch",
     "replay_mended",
 ]

@@ -27,9 +27,10 @@ from punctuality.functions import service_date
 from punctuality.operators.audit import FILE_NAME_PATTERN
 from punctuality.operators.documents import DAMAGED, examine, is_damaged
 from punctuality.operators.indicators import ROLLUP_KEY, added, rollup
-from punctuality.operators.matching import judge, match_to_spans
+from punctuality.operators.matching import judge, match_to_loads
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.ranking import sample_candidates
+from punctuality.sources.schedules import last_load, read_loads
 from punctuality.sources.snapshots import follow_texts, read_texts
 from punctuality.sources.store import DATE, Store
 
@@ -39,6 +40,8 @@ FILES_PER_BATCH = 10_000
 MOST_PARTS = 8
 #: Notes of the store: the last batch of files taken, and the document parts that wait to be matched.
 TAKEN, WAITING = "taken", "waiting"
+#: Note of the store: the load of the schedule up to which every match is right.
+SCHEDULE = "schedule"
 #: Passages and matches of one line lie together within a file, so that readers of some lines skip the rest.
 CLUSTERED = ("line_code", "stop_point_name")
 
@@ -84,8 +87,9 @@ def collect_arrivals(
 def match_waiting(store: Store, spans: str, config: MatchConfig = MatchConfig()) -> list[str]:
     """Match the document parts that wait for it, one after the other; returns their names.
 
-    ``spans`` is the dataset of :func:`punctuality.operators.matching.departure_spans`, read anew for every part, so a
-    reloaded schedule counts from the next part on.
+    ``spans`` is a dataset of :func:`punctuality.operators.matching.departure_spans`, or the loads of
+    :func:`punctuality.sources.schedules.load_schedule`. It is opened anew for every part, so a new load counts from the next
+    part on; only the loads that the part's service dates go by are read.
     """
 
     def day(ts: str) -> Column:
@@ -99,11 +103,14 @@ def match_waiting(store: Store, spans: str, config: MatchConfig = MatchConfig())
         arrived = build_passages(flatten_snapshots(documents)).select("*", day("expected_departure_ts"))
         parts = store.write("passages", name, arrived, *CLUSTERED)
         passages = store.read("passages", schemas.PASSAGES, parts)
-        matched = judge(match_to_spans(passages.drop(DATE), store.spark.read.parquet(spans), config), config)
+        dates, newest = [part.date for part in parts if part.date], last_load(store.spark, spans)
+        loads = read_loads(store.spark, spans, min(dates, default=None), max(dates, default=None), newest)
+        matched = judge(match_to_loads(passages.drop(DATE), [(load.valid_from, load.spans) for load in loads], config), config)
         new = store.write("matched", name, matched.select("*", day("expected_departure_ts")), *CLUSTERED)
         parts += new + _summaries(store, name, store.read("matched", schemas.MATCHED, new))
         left = [other for other in _waiting(seen.notes) if other != name]
-        store.commit(seen, [*seen.parts, *parts], seen.notes | {WAITING: ",".join(left)})
+        notes = {SCHEDULE: newest} if newest and SCHEDULE not in seen.notes else {}
+        store.commit(seen, [*seen.parts, *parts], seen.notes | notes | {WAITING: ",".join(left)})
     return done
 
 
