@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -37,6 +37,8 @@ MISS = 1e-8
 SIGMAS = 5.5
 #: Rounds in which every bucket compares its members with one head, before what is left is compared member by member.
 STAR_ROUNDS = 2
+#: Minima of the signatures that the sets of these last pairs are given.
+FINE = 1024
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,6 +49,7 @@ class Similarity:
     shingle: int = 5
     percent: int = 80
     rows: int = 4
+    least_hashes: int = 128
 
     @property
     def threshold(self) -> float:
@@ -58,8 +61,8 @@ class Similarity:
 
     @property
     def hashes(self) -> int:
-        """Minima in all: those of the bands, rounded up to whole words of 32 two-bit values, 128 at least."""
-        return max(128, -(-self.bands * self.rows // 32) * 32)
+        """Minima in all: those of the bands, rounded up to whole words of 32 two-bit values, ``least_hashes`` at least."""
+        return max(self.least_hashes, -(-self.bands * self.rows // 32) * 32)
 
     @property
     def longs(self) -> int:
@@ -248,9 +251,10 @@ def unshared(docs: DataFrame, how: Similarity) -> DataFrame:
 def _apart(members: DataFrame, classes: DataFrame, docs: DataFrame, how: Similarity) -> DataFrame:
     """Pairs of one bucket and different components: one of each pair lies outside the bucket's largest component.
 
-    Two tests are part of the join. A set can share at most what others have too, so its unshared shingles bound the
-    similarity from above; in a large group of ever more different copies this leaves few pairs. Then the estimate. A
-    pair comes from the first band that it shares, so each is made once.
+    Three tests are part of the join. A set can share at most what others have too, so its unshared shingles bound the
+    similarity from above. Then the estimate, and a finer one by ``FINE`` minima, which only the sets that are still here
+    are given; in a large group of ever more different copies these leave few pairs. An id of several texts goes by
+    the coarse estimate alone. A pair comes from the first band that it shares, so each is made once.
     """
     sizes = members.groupBy("band", "component").agg(F.count("*").alias("n"))
     main = sizes.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
@@ -258,19 +262,25 @@ def _apart(members: DataFrame, classes: DataFrame, docs: DataFrame, how: Similar
     nodes = held.select("node").distinct()
     alone = unshared(docs.join(nodes, "node", "left_semi"), how)
     mine = classes.join(nodes, "node", "left_semi")
-    several = mine.groupBy("node").agg(F.count("*").alias("texts")).filter("texts > 1")  # the bound is of one text
+    texts = docs.join(nodes, "node", "left_semi")
+    each = F.xxhash64("text")  # the bound is of one text, and so is the fine signature
+    several = texts.groupBy("node").agg(F.min(each).alias("lo"), F.max(each).alias("hi")).filter("lo <> hi").select("node", F.lit(True).alias("several"))
     facts = mine.join(alone, "node", "left").join(several, "node", "left")
-    lost = F.when(F.col("texts").isNull(), F.coalesce("unshared", F.lit(0))).otherwise(0)
-    common = (F.col("size") - lost).alias("common")
-    held = held.join(facts.select("node", "bands", "size", common), "node")
-    able = F.col("common") * 100 >= how.percent * F.col("size")
-    names = ("node", "component", "signature", "bands", "size", "common")
-    a, b = (held.filter(able).select(F.col("band").alias(f"band_{x}"), "main", *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
+    lost = F.when(F.col("several").isNull(), F.coalesce("unshared", F.lit(0))).otherwise(0)
+    facts = facts.select("node", "bands", "size", (F.col("size") - lost).alias("common"), "several")
+    facts = stored(facts.filter(F.col("common") * 100 >= how.percent * F.col("size")), "facts")
+    fine = replace(how, least_hashes=FINE)
+    single = texts.join(facts.filter("several is null").select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+    signed = digests(single, fine, "node").select("node", F.col("signature").alias("fine"))
+    held = stored(held.join(facts.drop("several"), "node").join(signed, "node", "left"), "apart")
+    names = ("node", "component", "signature", "bands", "size", "common", "fine")
+    a, b = (held.select(F.col("band").alias(f"band_{x}"), "main", *(F.col(c).alias(f"{c}_{x}") for c in names)) for x in "ab")
     a = a.filter("component_a <> main").drop("main")
     apart = (F.col("component_a") != F.col("component_b")) & ((F.col("component_b") == F.col("main")) | (F.col("node_a") < F.col("node_b")))
     most = F.least("common_a", "common_b")
     possible = most * 100 >= how.percent * (F.col("size_a") + F.col("size_b") - most)
     near = agreement("signature_a", "signature_b", how) >= how.least_agreement
+    near &= F.coalesce(agreement("fine_a", "fine_b", fine) >= fine.least_agreement, F.lit(True))
     first = F.get(F.filter(F.zip_with("bands_a", "bands_b", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull()), F.lit(0))
     met = a.join(b, (F.col("band_a") == F.col("band_b")) & apart & possible & near & (first == F.col("band_a")))
     return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))

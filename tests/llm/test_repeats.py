@@ -115,6 +115,44 @@ def test_minhash_equals_brute_force(spark, shingle, percent):
     assert rows_of(minhash.near_duplicates(docs, minhash.Similarity(shingle, percent))) == sorted(expected, key=repr)
 
 
+def ever_more_different():
+    """Copies with ever more words of their own, and ids of several texts of which one is a copy, its own or another's."""
+    rng = random.Random(23)
+    base = prose(rng, 200, 4000)
+    rows = []
+    for n in range(60):
+        copy = list(base)
+        for place in rng.sample(range(200), n // 2):
+            copy[place] = f"o{n}x{place}"
+        rows.append((n, " ".join(copy)))
+    near = list(rows[9][1].split())
+    near[100] = "other"
+    other = lambda: " ".join(prose(rng, 200, 10**6))
+    rows += [(70, " ".join(near)), (70, other()), (71, other()), (71, rows[3][1]), (72, other()), (72, rows[-1][1]), (72, None)]
+    rows += [(73, rows[20][1]), (73, rows[20][1]), (74, other()), (75, other())]
+    return rows
+
+
+@pytest.mark.parametrize("stars", [0, 2])
+def test_minhash_of_ids_with_several_texts(spark, monkeypatch, stars):
+    """Without stars all pairs go through the last step, whose bounds are of one text."""
+    monkeypatch.setattr(minhash, "STAR_ROUNDS", stars)
+    rows = ever_more_different()
+    sets = [{tuple(w[i : i + 5]) for w in [(t or "").split()] for i in range(len(w) - 4)} for _, t in rows]
+    parent = {n: n for n, _ in rows}
+    find = lambda x: x if parent[x] == x else find(parent[x])
+    for i, (a, _) in enumerate(rows):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                x, y = find(a), find(rows[j][0])
+                parent[max(x, y)] = min(x, y)
+    expected = [(n, len(s), find(n), find(n) == n) for (n, _), s in zip(rows, sets, strict=True)]
+    assert len({row[2] for row in expected}) > 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(minhash.near_duplicates(docs)) == sorted(expected, key=repr)
+
+
 def test_minhash_of_nothing(spark):
     assert minhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
