@@ -15,10 +15,10 @@ from punctuality.plans import pipeline
 from punctuality.schemas import FEED_COLUMNS
 from punctuality.sources.sinks import clean_feed
 from punctuality.sources.store import Store
-from punctuality.streaming import FILES_PER_BATCH, compact, match_arrivals, rematch, replay_mended
+from punctuality.streaming import FILES_PER_BATCH, audit_days, collect_reports, compact, match_arrivals, rematch, replay_mended
 
 STAGES = ("schedule", "passages", "match", "indicators", "exports")
-EXTRA = ("clean", "catalog", "stream", "replay", "rematch", "compact")
+EXTRA = ("clean", "catalog", "stream", "replay", "rematch", "compact", "audit")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -31,7 +31,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--tolerance-seconds", type=int, default=MatchConfig.tolerance_seconds)
     parser.add_argument("--delay-threshold-minutes", type=float, default=MatchConfig.delay_threshold_minutes)
     parser.add_argument("--collapse-whitespace", action="store_true", help="match stop names across runs of spaces")
-    parser.add_argument("--streamed", action="store_true", help="indicators, exports and catalog from the batches of the stream stage")
+    parser.add_argument("--streamed", action="store_true", help="indicators and catalog from the batches of the stream stage")
     parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="snapshot files in a micro-batch")
     parser.add_argument("--valid-from", help="first service date of the schedule that is loaded; all dates if left out")
     parser.add_argument("--database", default="punctuality", help="database of the catalog stage")
@@ -55,6 +55,10 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
             spark, at["snapshots"], at["spans"], at["arrivals"], at["arrivals_state"], config, asked.files_per_batch
         ).awaitTermination()
 
+    def report() -> None:
+        collect_reports(spark, at["snapshots"], at["arrivals"], at["reports_state"]).awaitTermination()
+        print("audited:", *audit_days(Store(spark, at["arrivals"])))
+
     def clean() -> None:
         files = {f"{at['feed']}/{name}.txt": f"{at['clean_feed']}/{name}.csv" for name in FEED_COLUMNS}
         for source, error in clean_feed(spark, files).items():
@@ -65,10 +69,11 @@ def run(spark: SparkSession, asked: argparse.Namespace) -> dict[str, int]:
         "passages": lambda: pipeline.make_passages(spark, at),
         "match": lambda: pipeline.make_matches(spark, at, config),
         "indicators": lambda: pipeline.make_indicators(spark, at, asked.streamed),
-        "exports": lambda: pipeline.export_reports(spark, at, asked.streamed),
+        "exports": lambda: pipeline.export_reports(spark, at),
         "catalog": lambda: pipeline.publish_catalog(spark, at, asked.database, asked.prefix, streamed=asked.streamed),
         "replay": lambda: {"mended": replay_mended(spark, at["mended"], at["arrivals"])},
         "rematch": lambda: rematch(Store(spark, at["arrivals"]), at["spans"], config) and None,
+        "audit": report,
         "compact": lambda: compact(Store(spark, at["arrivals"])) and None,
         "clean": clean,
         "stream": stream,

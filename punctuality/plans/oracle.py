@@ -472,3 +472,5 @@ ORACLE: dict[str, str] = {
 }
 
 ORACLE["stream_worst_samples"] = ORACLE["worst_samples"]
+ORACLE["audit_arrivals"] = ORACLE["collection_audit"]
+ORACLE["published_kpis"] = ORACLE["network_kpis"]

@@ -6,6 +6,7 @@ before, and statistics of the files are known to the next plan.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +18,7 @@ from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.sources import catalog
 from punctuality.sources.sinks import export_report, write_parquet
+from punctuality.sources.publication import Publication
 from punctuality.sources.schedules import load_schedule, read_loads
 from punctuality.sources.store import Store
 from punctuality.sources.tables import read_feed, read_parquet
@@ -42,6 +44,7 @@ FOLDERS = {
     "spans": "processed/gtfs/departure_spans.parquet",
     "passages": "processed/realtime/realtime_passages.parquet",
     "matched": "final/matched_observations.parquet",
+    "published": "analytics/published",
     "rollup": "analytics/rollup",
     "line_performance": "analytics/line_performance",
     "stop_performance": "analytics/stop_performance",
@@ -51,6 +54,7 @@ FOLDERS = {
     "clean_feed": "processed/gtfs",
     "arrivals": "final/arrivals.parquet",
     "arrivals_state": "state/arrivals",
+    "reports_state": "state/reports",
 }
 
 INDICATORS = {
@@ -89,39 +93,44 @@ def make_matches(spark: SparkSession, at: Layout, config: MatchConfig = MatchCon
 
 
 def make_indicators(spark: SparkSession, at: Layout, streamed: bool = False) -> dict[str, int]:
-    """Matched observations → rollup → indicator datasets. The observations are read once.
+    """Matched observations → rollup → indicator datasets and samples, published as one set.
 
     With ``streamed`` the rollup is the sum of what the stream's batches have left, and no observation is read at all.
     """
-    key = (*indicators.ROLLUP_KEY,)
-    if streamed:
-        figures = indicators.added(read_rollups(spark, at["arrivals"]), *key)
-    else:
-        figures = indicators.rollup(read_parquet(spark, at["matched"]))
-    rows = {"rollup": write_parquet(figures, at["rollup"])}
-    figures = read_parquet(spark, at["rollup"])
-    for name, indicator in INDICATORS.items():
-        rows[name] = write_parquet(indicator(figures), at[name])
+    def figures(made: Mapping[str, DataFrame]) -> DataFrame:
+        if streamed:
+            return indicators.added(read_rollups(spark, at["arrivals"]), *indicators.ROLLUP_KEY)
+        return indicators.rollup(read_parquet(spark, at["matched"]))
+
+    def samples(made: Mapping[str, DataFrame]) -> DataFrame:
+        return ranking.worst_samples(read_samples(spark, at["arrivals"]) if streamed else read_parquet(spark, at["matched"]))
+
+    makers = {name: lambda made, make=indicator: make(made["rollup"]) for name, indicator in INDICATORS.items()}
+    published = Publication(spark, at["published"])
+    rows = published.publish({"rollup": figures, **makers, "sample_disruptions": samples})
+    rows.pop("sample_disruptions")
+    for name, frame in published.read().items():  # the places that other systems read, one after the other
+        if name in rows:
+            write_parquet(frame, at[name])
     return rows
 
 
-def reports(spark: SparkSession, at: Layout, streamed: bool = False) -> dict[str, DataFrame]:
-    """The report tables by export name, all of a handful of rows. With ``streamed`` the samples come from what the stream's
-    batches have left, as the figures do."""
-    figures = read_parquet(spark, at["rollup"])
-    observed = read_samples(spark, at["arrivals"]) if streamed else read_parquet(spark, at["matched"])
+def reports(spark: SparkSession, at: Layout) -> dict[str, DataFrame]:
+    """The report tables by export name, all of a handful of rows and all of the set that was published last."""
+    published = Publication(spark, at["published"]).read()
+    figures = published["rollup"]
     return {
         "network_overview": indicators.network_kpis(figures),
-        "top_lines": ranking.top_lines(read_parquet(spark, at["line_performance"])),
-        "top_stops": ranking.top_stops(read_parquet(spark, at["stop_performance"])),
+        "top_lines": ranking.top_lines(published["line_performance"]),
+        "top_stops": ranking.top_stops(published["stop_performance"]),
         "disruption_reasons": ranking.top_reasons(figures),
-        "sample_disruptions": ranking.worst_samples(observed),
+        "sample_disruptions": published["sample_disruptions"],
     }
 
 
-def export_reports(spark: SparkSession, at: Layout, streamed: bool = False) -> None:
+def export_reports(spark: SparkSession, at: Layout) -> None:
     """Report tables → CSV."""
-    for name, rows in reports(spark, at, streamed).items():
+    for name, rows in reports(spark, at).items():
         export_report(rows, f"{at['exports']}/{name}.csv")
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 from operator import add
 
@@ -19,12 +20,17 @@ from punctuality.operators.schedule import build_schedule
 from punctuality.plans import adapters
 from punctuality.plans.files import write_files
 from punctuality.sources import catalog, schedules, sinks, snapshots, tables
+from punctuality.sources.publication import Publication
 from punctuality.sources.scratch import new_folder
 from punctuality.sources.store import DATE, Store
 from punctuality.streaming import (
+    audit_days,
+    collect_arrivals,
+    collect_reports,
     compact,
     match_arrivals,
     match_waiting,
+    read_audit,
     read_documents,
     read_matches,
     read_passages,
@@ -364,6 +370,43 @@ def collection_audit(spark, sf_dir):
     return both.select("source_file", "visits", "status_code", "ok", "error", "reported_passages")
 
 
+@query
+def audit_arrivals(spark, sf_dir):
+    """The collection audit by day: files arrive in two drops, the reports after the first, and days that grew are joined again."""
+    arriving, told, output, checkpoint, reports_state = (
+        new_folder(spark, purpose) for purpose in ("arriving", "reports", "stream-out", "stream-state", "reports-state")
+    )
+    documents = adapters.documents(spark, sf_dir)
+    store = Store(spark, output)
+    for early in (True, False):
+        write_files(documents.filter((F.crc32("source_file") % 2 == 0) == early), arriving)
+        collect_arrivals(spark, arriving, output, checkpoint).awaitTermination()
+        audit_days(store)
+        if early:
+            adapters.report_files(spark, sf_dir, told)
+            collect_reports(spark, told, output, reports_state).awaitTermination()
+            audit_days(store)
+    return read_audit(spark, output).select("source_file", "visits", "status_code", "ok", "error", "reported_passages")
+
+
+@query
+def published_kpis(spark, sf_dir):
+    """The network's figures from a published set, read while the next set, of the undisrupted observations, is half made."""
+    root, matched, seen = new_folder(spark, "published"), f"{new_folder(spark, 'matched')}/rows", []
+    sinks.write_parquet(_matched(spark, sf_dir), matched)
+    published, rows = Publication(spark, root), tables.read_parquet(spark, matched)
+    kpis = {"kpis": lambda made: indicators.network_kpis(made["rollup"])}
+    published.publish({"rollup": lambda made: indicators.rollup(rows), **kpis})
+
+    def fails(made: Mapping[str, DataFrame]) -> DataFrame:
+        seen.append(published.read()["kpis"])
+        raise InterruptedError
+
+    with contextlib.suppress(InterruptedError):
+        published.publish({"rollup": lambda made: indicators.rollup(rows.filter("not is_disrupted")), "stop": fails, **kpis})
+    return seen[0]
+
+
 @query
 def zone_seconds(spark, sf_dir):
     """Instants with Z and with offsets over a change to summer time, read in a stated zone whatever the session's is."""

@@ -47,9 +47,13 @@ def export_report(rows: DataFrame, path: str) -> None:
         nothing.write.mode("overwrite").options(header=False, **EXACT_TEXT).csv(path)
 
 
-def clean_csv(spark: SparkSession, source: str, target: str) -> None:
-    """Copy a CSV dataset with trimmed header names and without rows that have no value at all."""
-    raw = spark.read.options(header=True, escape='"').csv(source)
+def clean_csv(spark: SparkSession, source: str, target: str, multi_line: bool = True) -> None:
+    """Copy a CSV dataset with trimmed header names and without rows that have no value at all.
+
+    A line break inside quotes belongs to its field. For that a file is read by one task; files of a feed are few and
+    bounded, and ``multi_line=False`` spreads a larger one that has no such line breaks.
+    """
+    raw = spark.read.options(header=True, escape='"', multiLine=multi_line).csv(source)
     named = raw.toDF(*[c.strip() for c in raw.columns])
     # A quoted empty field is read as an empty text, and is no value either.
     fields = {c: F.nullif(F.col(f"`{c}`"), F.lit("")) for c in named.columns}

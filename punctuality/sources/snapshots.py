@@ -41,6 +41,14 @@ def read_snapshots(spark: SparkSession, folder: str) -> DataFrame:
     return examine(read_texts(spark, folder)).select("source_file", "status", "Siri")
 
 
+def follow_reports(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Streaming version of :func:`read_collection_reports`: each file is delivered once, whole, in one micro-batch."""
+    reader = spark.readStream.schema(StructType.fromDDL(COLLECTION_REPORT)).options(multiLine=True, pathGlobFilter=REPORT_FILES)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(folder)
+
+
 def read_collection_reports(spark: SparkSession, folder: str) -> DataFrame:
     """Entries of the collector's report files; each file is a JSON list, which gives one row per entry."""
     reader = spark.read.schema(StructType.fromDDL(COLLECTION_REPORT))

@@ -1,5 +1,6 @@
 """Incremental runs over snapshots as they arrive."""
 
+from punctuality.streaming.audit import audit_days, collect_reports, read_audit
 from punctuality.streaming.match import (
     FILES_PER_BATCH,
     collect_arrivals,
@@ -18,10 +19,13 @@ from punctuality.streaming.rematch import rematch
 
 __all__ = [
     "FILES_PER_BATCH",
+    "audit_days",
     "collect_arrivals",
+    "collect_reports",
     "compact",
     "match_arrivals",
     "match_waiting",
+    "read_audit",
     "read_documents",
     "read_matches",
     "read_passages",

@@ -24,7 +24,6 @@ from pyspark.sql.streaming import StreamingQuery
 from punctuality import schemas
 from punctuality.config import MatchConfig
 from punctuality.functions import service_date
-from punctuality.operators.audit import FILE_NAME_PATTERN
 from punctuality.operators.documents import DAMAGED, examine, is_damaged
 from punctuality.operators.indicators import ROLLUP_KEY, added, rollup
 from punctuality.operators.matching import judge, match_to_loads
@@ -33,6 +32,7 @@ from punctuality.operators.ranking import sample_candidates
 from punctuality.sources.schedules import last_load, read_loads
 from punctuality.sources.snapshots import follow_texts, read_texts
 from punctuality.sources.store import DATE, Store
+from punctuality.streaming.audit import name_day
 
 #: Files in one micro-batch; a backlog is worked off in batches of this size.
 FILES_PER_BATCH = 10_000
@@ -48,9 +48,8 @@ CLUSTERED = ("line_code", "stop_point_name")
 
 def _documents(texts: DataFrame) -> DataFrame:
     """Examined documents by the day in their name. The text is kept only where the parsed form does not hold it all."""
-    day = F.try_to_date(F.substring(F.regexp_extract("source_file", FILE_NAME_PATTERN, 2), 1, 8), "yyyyMMdd").cast("string")
     kept = F.when(is_damaged(F.col("status")) | (F.col("status") == "partial"), F.col("document"))
-    return examine(texts).withColumn("document", kept).select(*schemas.DOCUMENTS.fieldNames(), day.alias(DATE))
+    return examine(texts).withColumn("document", kept).select(*schemas.DOCUMENTS.fieldNames(), name_day(F.col("source_file")).alias(DATE))
 
 
 def _waiting(notes: dict[str, str]) -> list[str]:
