@@ -94,7 +94,7 @@ def observed_departures(passages: DataFrame, config: MatchConfig = MatchConfig()
     return _placed(merged, config)
 
 
-def _span_parameters(config: MatchConfig) -> dict[str, int]:
+def span_parameters(config: MatchConfig) -> dict[str, int]:
     """What spans depend on, apart from the bucket width, which they bring along."""
     return {
         "tolerance": config.tolerance_seconds,
@@ -117,13 +117,13 @@ def departure_spans(schedule: DataFrame, config: MatchConfig = MatchConfig()) ->
         last=config.last_second,
         bucket=config.bucket_seconds,
     )
-    return spans.withMetadata("bucket", nearest.made_under(spans) | _span_parameters(config))
+    return spans.withMetadata("bucket", nearest.made_under(spans) | span_parameters(config))
 
 
 def _checked(spans: DataFrame, config: MatchConfig) -> dict[str, int]:
     """The parameters spans were made under, which must be those of the config."""
     made = nearest.made_under(spans)
-    differing = {name: made.get(name) for name, value in _span_parameters(config).items() if made.get(name) != value}
+    differing = {name: made.get(name) for name, value in span_parameters(config).items() if made.get(name) != value}
     if differing:
         raise ValueError(f"spans were made under another config: {differing}")
     return made

@@ -83,8 +83,12 @@ def made_under(spans: DataFrame) -> dict[str, int]:
 
 def join_spans(observed: DataFrame, spans: DataFrame, on: Sequence[str], time: str) -> DataFrame:
     """Observed rows with the planned row whose span holds their time; rows without one are dropped."""
-    o = observed.withColumn("bucket", _bucket(time, made_under(spans)["bucket"])).alias("o")
-    s = spans.alias("s")
+    return join_in_buckets(observed.withColumn("bucket", _bucket(time, made_under(spans)["bucket"])), spans, on, time)
+
+
+def join_in_buckets(observed: DataFrame, spans: DataFrame, on: Sequence[str], time: str) -> DataFrame:
+    """:func:`join_spans` of observed rows that have their ``bucket`` already, which goes."""
+    o, s = observed.alias("o"), spans.alias("s")
     same_cell = [F.col(f"o.{c}") == F.col(f"s.{c}") for c in (*on, "bucket")]
     within = F.col(f"o.{time}").between(F.col("s.span_start"), F.col("s.span_end"))
     hidden = {*on, "bucket", "span_start", "span_end"}

@@ -304,6 +304,7 @@ ORACLE: dict[str, str] = {
     ),
     "nearest_match": NEAREST_ROWS,
     "nearest_match_window": NEAREST_ROWS,
+    "nearest_match_stored": NEAREST_ROWS,
     "nearest_match_bucketed": sql([TABLES, SCHEDULE, PASSAGES, matches(900)], MATCH_COLUMNS),
     "matched_classified": MATCHED_ROWS,
     "line_performance": sql([*VERDICT, by_line()], "SELECT * FROM lines"),

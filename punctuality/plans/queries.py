@@ -19,7 +19,7 @@ from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
 from punctuality.plans import adapters
 from punctuality.plans.files import write_files
-from punctuality.sources import catalog, schedules, sinks, snapshots, tables
+from punctuality.sources import catalog, clustered, schedules, sinks, snapshots, tables
 from punctuality.sources.publication import Publication
 from punctuality.sources.scratch import new_folder
 from punctuality.sources.store import DATE, Store
@@ -178,6 +178,16 @@ def nearest_match_bucketed(spark, sf_dir):
     return found.select(*MATCH_COLUMNS)
 
 
+@query
+def nearest_match_stored(spark, sf_dir):
+    """The match from two bucketed tables, which joins them without an exchange."""
+    database = f"punctuality_{uuid.uuid4().hex}"
+    catalog.create_database(spark, database, new_folder(spark, "warehouse"))
+    clustered.save_spans(matching.departure_spans(_departures(spark, sf_dir)), f"{database}.spans", 8)
+    clustered.save_observed(adapters.passages(spark, sf_dir), f"{database}.observed", 8)
+    return clustered.match_saved(spark, f"{database}.observed", f"{database}.spans").select(*MATCH_COLUMNS)
+
+
 @query
 def matched_classified(spark, sf_dir):
     return _instants_as_text(_matched(spark, sf_dir))
