@@ -44,32 +44,6 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.regexp_replace(role, "(?<!\\\\)((?:\\\\\\\\)*)\\\\\r", "$1\n"))
 
 
-def format_turns(turns: Column, learned_role: str = LEARNED_ROLE) -> Column:
-    """Struct of the formatted text and its loss spans from an array of structs (role, text) in order.
-
-    Spans count code points from 0 and hold start and length of each text of ``learned_role``, escaped as it stands.
-    """
-    written = F.transform(
-        turns,
-        lambda t: F.struct(
-            F.concat(F.lit(OPEN), escape_role(t["role"]), F.lit("\n")).alias("head"), escape(t["text"]).alias("body"), (t["role"] == learned_role).alias("learned")
-        ),
-    )
-    none = F.array().cast("array<struct<start:long,length:long>>")
-    start = F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans"))
-
-    def step(held: Column, t: Column) -> Column:
-        body = held["at"] + F.length(t["head"])
-        size = F.length(t["body"]).cast("long")
-        span = F.array(F.struct(body.alias("start"), size.alias("length")))
-        return F.struct(
-            (body + size + len(CLOSE)).alias("at"), F.when(t["learned"], F.concat(held["spans"], span)).otherwise(held["spans"]).alias("spans")
-        )
-
-    text = F.array_join(F.transform(written, lambda t: F.concat(t["head"], t["body"], F.lit(CLOSE))), "")
-    return F.struct(text.alias("formatted"), F.aggregate(written, start, step, lambda held: held["spans"]).alias("loss_spans"))
-
-
 def read_turns(formatted: Column) -> Column:
     """Array of structs (role, text) read back from a formatted conversation."""
     parts = F.split(formatted, "</s>\n")
@@ -142,8 +116,22 @@ def format_trees(tree: DataFrame, best: int = 1, learned_role: str = LEARNED_ROL
         more = spread.join(known, ["c", "c_null", "node"]).select("c", "c_null", "leaf", "rank", F.col("up").alias("node"), (F.col("above") + 2**r).alias("above"))
         spread = stored(spread.unionByName(more), "paths")  # else each round would hold the plan before it twice
     said = tree.select(*_key("node"), "conversation", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    turns = spread.join(said, ["c", "c_null", "node"])
-    turn = F.struct((-F.col("above")).alias("at"), "node", "role", "text")
-    whole = turns.groupBy("c", "c_null", "conversation", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    made = whole.withColumn("made", format_turns(F.col("turns"), learned_role))
-    return made.select("conversation", "leaf", "rank", F.size("turns").cast("long").alias("n_turns"), "made.formatted", "made.loss_spans")
+    turns = spread.join(said, ["c", "c_null", "node"]).select(
+        "c", "c_null", "conversation", "leaf", "rank", "above", "node", "role", "text",
+        F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n")).alias("head"), escape(F.col("text")).alias("body"),
+    )
+    # Where a turn starts is a running sum over its path; the turns are put together once, in the order of their starts.
+    size = (F.length("head") + F.length("body") + len(CLOSE)).cast("long")
+    path = Window.partitionBy("c", "c_null", "leaf", "rank").orderBy(F.col("above").desc(), "node", "role", "text")
+    before = F.coalesce(F.sum(size).over(path.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    turn = F.struct(
+        "start", F.concat("head", "body", F.lit(CLOSE)).alias("written"), (F.col("start") + F.length("head")).alias("body"),
+        F.length("body").cast("long").alias("length"), (F.col("role") == learned_role).alias("learned"),
+    )
+    placed = turns.withColumn("start", before)
+    whole = placed.groupBy("c", "c_null", "conversation", "leaf", "rank").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    spans = F.transform(F.filter("turns", lambda t: t["learned"]), lambda t: F.struct(t["body"].alias("start"), t["length"].alias("length")))
+    return whole.select(
+        "conversation", "leaf", "rank", F.size("turns").cast("long").alias("n_turns"),
+        F.array_join(F.transform("turns", lambda t: t["written"]), "").alias("formatted"), spans.alias("loss_spans"),
+    )
