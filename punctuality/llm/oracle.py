@@ -71,6 +71,21 @@ SELECT id AS doc_id, coalesce(n, 0) AS n_shingles, component_id, id = component_
 FROM parts LEFT JOIN (SELECT doc_id AS id, n FROM sizes) USING (id)
 """
 
+LINE_FIRST = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+runs AS (SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 2), ' ') AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+twice AS (SELECT doc_id, k FROM runs GROUP BY doc_id, k HAVING count(*) > 1),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n
+            FROM (SELECT doc_id, unnest(range(i, i + 3)) AS place FROM runs JOIN twice USING (doc_id, k)) GROUP BY doc_id),
+lines AS (SELECT doc_id, sum(n - 1) AS n FROM (SELECT doc_id, line, count(*) AS n
+              FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w) WHERE regexp_matches(line, '[^\x09-\x0D\x20]')
+              GROUP BY doc_id, line) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+       len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+       coalesce(covered.n, 0) AS n_repeat_words, len(ws) < 50 OR 100 * coalesce(covered.n, 0) > 50 * len(ws) AS base_failed
+FROM w LEFT JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+"""
+
 TERMS = "regexp_extract_all({text}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
 
 LEXICAL = f"""
@@ -122,6 +137,7 @@ ORACLE: dict[str, str] = {
     "op2_reply_trees": CHAT,
     "op5_spherical_cells": EMBEDDINGS,
     "op6_b_bit_minhash": MINHASH,
+    "line_first_base": LINE_FIRST,
     "op11_range_maximum": LEXICAL,
     "op12_prefix_crc": RESAMPLING,
 }

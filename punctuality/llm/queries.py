@@ -102,6 +102,12 @@ def op9_line_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", *base, "base_failed", "kept")
 
 
+@query
+def line_first_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base columns of the ninth operator, which SQL can express; its verdict on lines and documents is not among them."""
+    return op9_line_first(spark, sf_dir).drop("kept")
+
+
 @query
 def op10_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack(packing.cut(documents(spark, sf_dir), vocabulary()))
