@@ -231,7 +231,11 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
 
 
 def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``(id_column, n_tokens, ids_sha256, decoded_sha256)`` by the same encoder, without moving the ids about."""
+    """``(id_column, n_tokens, ids_sha256, decoded_sha256)`` by the same encoder, without moving the ids about.
+
+    Null and empty texts have no ids and the digests of nothing; repeated rows and null ids stay rows of their own; an empty
+    table gives no rows; other columns are ignored, whatever their names.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)

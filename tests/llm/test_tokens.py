@@ -1,6 +1,7 @@
 """BPE against the tokenizers library, and best-two-fit packing."""
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -91,3 +92,60 @@ def test_packed_rows(docs):
             at += length
         assert at <= 64
     assert packing.pack(packing.cut(docs.limit(0), vocabulary())).collect() == []
+
+
+def one_by_one(lengths, capacity):
+    """Bins of best-two-fit, made piece by piece from a plain list."""
+    left, out = sorted(lengths), []
+    while left:
+        held, gap = [], capacity
+        while any(x <= gap for x in left):
+            size = max(x for x in left if x <= gap)
+            left.remove(size)
+            held.append(size)
+            gap -= size
+        if gap and left:
+            room = gap + held[-1]
+            pairs = [(a + b, a, b) for i, a in enumerate(left) for b in left[:i] if held[-1] < a + b <= room]
+            if pairs:
+                _, a, b = max(pairs)
+                left.remove(a)
+                left.remove(b)
+                left = sorted([*left, held.pop()])
+                held += [a, b]
+        out.append(sorted(held))
+    return out
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 30), st.integers(1, 12)), max_size=8))
+def test_patterns_equal_bins_one_by_one(counted):
+    lengths = [size for size, n in counted for _ in range(n)]
+    found = [sorted(held) for held, times in packing.patterns(Counter(lengths), 30) for _ in range(times)]
+    assert found == one_by_one(lengths, 30)
+
+
+def test_packing_does_not_grow_worse():
+    """Four and sixteen times the pieces take four and sixteen times the sequences, from patterns that hardly become more."""
+    rng = np.random.default_rng(4)
+    lengths = np.minimum(np.maximum(rng.lognormal(6.2, 1.2, 20_000).astype(int), 1), 4096)
+    counts = Counter(lengths.tolist())
+    sizes = {}
+    for times in (1, 4, 16):
+        bins = packing.patterns({size: n * times for size, n in counts.items()}, 4096)
+        sizes[times] = len(bins)
+        full = -(-int(lengths.sum()) * times // 4096)
+        assert full <= sum(n for _, n in bins) <= full * 1.002 + 1
+    assert sizes[16] < 2 * sizes[1] + 5000
+
+
+def test_rows_that_repeat_and_names_that_clash(spark, library):
+    rows = [(1, "one two", 9, "a"), (1, "one two", 9, "a"), (None, None, 9, "b"), (None, "x", 9, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, length int, row_key string")
+    found = packing.pack(packing.cut(docs, vocabulary())).collect()
+    assert sorted((r.doc_id or 0, r.length) for r in found) == sorted((n or 0, 1 + len(ids_of(library, t))) for n, t, _, _ in rows)
+    assert len({r.offset for r in found}) == 4 and len({r.sequence_id for r in found}) == 1
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in bpe.digests(docs, vocabulary()).collect()) == sorted((n or 0, len(ids_of(library, t))) for n, t, _, _ in rows)
+    assert bpe.digests(docs.limit(0), vocabulary()).collect() == []
+    with pytest.raises(ValueError, match="row_key"):
+        packing.cut(docs, vocabulary(), id_column="row_key")
