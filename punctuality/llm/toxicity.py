@@ -11,6 +11,8 @@ Learning reads at most ``SAMPLE`` labelled documents, those whose ids have the s
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -26,8 +28,7 @@ from pyspark.sql import functions as F
 from punctuality.llm.common import slices, stored
 
 SAMPLE = 20_000
-MOST_TERMS = 2_000
-#: A term is a beginning of a word of so many letters.
+#: A term is a beginning of a word of so many letters, or a whole word that has fewer, written with a space behind it.
 LEAST_LETTERS, MOST_LETTERS = 4, 16
 #: Lowest log odds of a term's uses, and lowest likelihood ratio of the texts that have it (5.7e-7 by chance).
 LEAST_WEIGHT, SURPRISE = 2.5, 25.0
@@ -99,7 +100,10 @@ class Lexicon:
                 start = end - len(term)
                 if start not in found or self.weights[found[start]] < self.weights[term]:
                     found[start] = term
-        return [(start, term) for start, term in found.items() if not any(a <= start < b for a, b in covered)]
+        covered.sort()
+        starts, reach = [a for a, _ in covered], list(itertools.accumulate((b for _, b in covered), max))
+        free = lambda start: not (n := bisect.bisect_right(starts, start)) or reach[n - 1] <= start
+        return [(start, term) for start, term in found.items() if free(start)]
 
     def facts(self, text: str) -> tuple[float, float]:
         """Sum of the weights of the hits, and the words of the text."""
@@ -142,7 +146,7 @@ def surprise(t: Column, o: Column, all_t: float, all_o: float) -> Column:
     return 2 * (part(t, (t + o) * share) + part(o, (t + o) * (1 - share)))
 
 
-def _best_terms(rows: list, most: int) -> dict[str, float]:
+def _best_terms(rows: list) -> dict[str, float]:
     """Of terms that begin alike one: an extension that keeps nine tenths of the uses, else the shorter."""
     held = {r.term: r for r in rows}
     longest: dict[str, str] = {}
@@ -159,7 +163,7 @@ def _best_terms(rows: list, most: int) -> dict[str, float]:
     for term in sorted(kept, key=lambda x: (len(x), x)):
         if not any(term[:size] in final for size in range(LEAST_LETTERS, len(term))):
             final[term] = kept[term]
-    return dict(sorted(final.items(), key=lambda x: (-held[x[0]].g, x[0]))[:most])
+    return dict(sorted(final.items(), key=lambda x: (-held[x[0]].g, x[0])))
 
 
 def learned(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "toxic", sample: int = SAMPLE) -> Lexicon:
@@ -187,11 +191,12 @@ def learned(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_
     words = stored(words, "words")
     total = words.agg(F.coalesce(F.sum("t"), F.lit(0)).alias("t"), F.coalesce(F.sum("o"), F.lit(0)).alias("o")).first()
     starts = F.transform(F.sequence(F.lit(LEAST_LETTERS), F.least(F.length("word"), F.lit(MOST_LETTERS))), lambda n: F.substring("word", F.lit(1), n))
-    begun = words.filter(F.length("word") >= LEAST_LETTERS).select(F.explode(starts).alias("term"), "t", "o").groupBy("term").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    terms = F.when(F.length("word") < LEAST_LETTERS, F.array(F.concat("word", F.lit(" ")))).otherwise(starts)
+    begun = words.select(F.explode(terms).alias("term"), "t", "o").groupBy("term").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
     weight = F.log((F.col("t") + 0.5) / (total.t + 1)) - F.log((F.col("o") + 0.5) / (total.o + 1))
     begun = begun.withColumn("weight", weight).withColumn("g", surprise(F.col("t"), F.col("o"), total.t, total.o))
     begun = begun.filter(f"t >= 3 and weight >= {LEAST_WEIGHT} and g >= {SURPRISE}")
-    candidates = _best_terms(begun.orderBy(F.col("g").desc(), "term").limit(4 * MOST_TERMS).collect(), MOST_TERMS)
+    candidates = _best_terms(begun.collect())  # words of the sample, and of these the telling ones
     lexicon = Lexicon(_supported(texts, Lexicon(candidates, [])), [])
     lexicon.exceptions = _exceptions(texts, lexicon)
     lexicon = Lexicon(lexicon.weights, lexicon.exceptions)
@@ -240,7 +245,7 @@ def _supported(texts: DataFrame, lexicon: Lexicon) -> dict[str, float]:
 def _exceptions(texts: DataFrame, lexicon: Lexicon) -> list[str]:
     """Pairs of words with a term in them that three other texts or more have and hardly any toxic one."""
     benign = _seen(texts, lexicon, True).filter("o >= 3 and t <= 0.1 * o")
-    return [r.term for r in benign.orderBy(F.col("o").desc(), "term").limit(MOST_TERMS).collect()]
+    return sorted(r.term for r in benign.collect())  # pairs of words of the sample
 
 
 def score(docs: DataFrame, lexicon: Lexicon, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
