@@ -168,7 +168,9 @@ def near_duplicates(rows: DataFrame, how: Cells = Cells(), id_column: str = "vec
         none = spark.createDataFrame([], "a long, b long, n long")
         found = none
     else:
-        picked = sound.orderBy(F.xxhash64("vec")).limit(how.sample).select("unit").toPandas()
+        place = F.pmod(F.xxhash64("vec"), F.lit(1 << 30))  # those below a cut are about as many as the sample, each id once
+        near = sound.filter(place < F.lit(int(min(1.0, how.sample / count) * (1 << 30)))).dropDuplicates(["vec"])
+        picked = near.orderBy(F.xxhash64("vec")).select("unit").toPandas()
         cells = int(min(how.most_cells, max(1, count // how.block), len(picked)))
         found = stored(links(sound, spherical_k_means(_matrix(picked["unit"]), cells, how.rounds), how), "links")
     totals = found.groupBy(F.col("a").alias("vec")).agg(F.sum("n").alias("n_links"))
