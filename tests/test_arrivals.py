@@ -13,7 +13,7 @@ from punctuality.__main__ import arguments, run
 from punctuality.operators import documents, indicators, matching, ranking
 from punctuality.operators.audit import audit_snapshots
 from punctuality.plans import pipeline
-from punctuality.sources import catalog, files, snapshots, tables
+from punctuality.sources import catalog, files, schedules, snapshots, tables
 from punctuality.sources.store import DATE, Store
 from punctuality.streaming import (
     collect_arrivals,
@@ -28,6 +28,7 @@ from punctuality.streaming import (
     read_samples,
     replay_mended,
 )
+from punctuality.streaming import match
 
 WHOLE = json.dumps({"Siri": {"ServiceDelivery": {"StopMonitoringDelivery": [{"MonitoredStopVisit": [visit()]}]}}})
 TEXTS = [
@@ -234,3 +235,40 @@ def test_streamed_results_to_the_end(spark, tmp_path):
     assert catalog.publish_days(store, "matched", "streamed", "me") == ["2026-01-06"]
     assert rows_of(spark.table(managed).drop(DATE)) == rows_of(read_matches(spark, at["arrivals"]).drop(DATE))
     assert spark.sql("SHOW PARTITIONS streamed.me_daily_observations_ext").count() == 2
+
+
+def test_a_backlog_is_matched_in_one_pass(spark, tmp_path, spans, monkeypatch):
+    """Files of several batches are matched together: the spans are opened once, and a date has one part of matches."""
+    opened = []
+    monkeypatch.setattr(match, "read_loads", lambda *args: opened.append(args) or schedules.read_loads(*args))
+    arriving, output = tmp_path / "arriving", str(tmp_path / "out")
+    for n in range(5):
+        snapshot(arriving, f"snapshot_a_20260105_08000{n}.json", visit(expected=f"2026-01-05T08:0{n}:30"))
+    match_arrivals(spark, str(arriving), spans, output, str(tmp_path / "state"), files_per_batch=2).awaitTermination()
+    store = Store(spark, output)
+    assert len({part.name for part in store.manifest().of("documents")}) == 3 and len(opened) == 1
+    assert [part.rows for part in store.manifest().of("matched")] == [5] and read_passages(spark, output).count() == 5
+    assert match_waiting(store, spans) == []
+
+
+def test_a_match_that_fails_is_raised_and_waits(spark, tmp_path, spans):
+    arriving, output, state = tmp_path / "arriving", str(tmp_path / "out"), str(tmp_path / "state")
+    snapshot(arriving, "snapshot_a_20260105_080000.json", visit())
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        match_arrivals(spark, str(arriving), str(tmp_path / "absent"), output, state).awaitTermination()
+    assert read_documents(spark, output).count() == 1 and read_matches(spark, output).collect() == []
+    match_arrivals(spark, str(arriving), spans, output, state).awaitTermination()
+    assert read_matches(spark, output).count() == 1
+
+
+def test_files_of_a_batch_are_listed_by_few_tasks(spark, tmp_path):
+    before = spark.conf.get(snapshots.LISTING)
+    try:
+        spark.conf.set(snapshots.LISTING, "10000")
+        snapshots.follow_texts(spark, str(tmp_path))
+        assert int(spark.conf.get(snapshots.LISTING)) == snapshots.LISTING_TASKS
+        spark.conf.set(snapshots.LISTING, "8")
+        snapshots.follow_reports(spark, str(tmp_path))
+        assert spark.conf.get(snapshots.LISTING) == "8"
+    finally:
+        spark.conf.set(snapshots.LISTING, before)
