@@ -10,6 +10,7 @@ from punctuality import MatchConfig, schemas
 from punctuality.__main__ import arguments, run
 from punctuality.operators import indicators, matching, ranking
 from punctuality.operators.passages import build_passages, flatten_snapshots
+from punctuality.operators.schedule import build_schedule
 from punctuality.plans import pipeline
 from punctuality.sources.schedules import last_load, load_schedule, read_loads
 from punctuality.sources.snapshots import read_snapshots
@@ -143,3 +144,19 @@ def test_passages_outside_the_change_are_not_read(spark, tmp_path):
     # From the bucket in which the spans of the two departures meet.
     assert {r.expected_departure_time[11:16] for r in hit.collect()} == {"08:00", "08:10", "08:20", "08:30", "08:40", "08:50"}
     assert matching.hit_by(rows, changed, missed=True).count() == 2
+
+
+def test_distinct_departures_are_told_by_a_sort(spark):
+    """Copies of departures go, nulls included, without a hash table of whole rows on either side of an exchange."""
+    routes = spark.createDataFrame([("C1", "1"), ("C2", None)], "route_id string, route_short_name string")
+    trips = spark.createDataFrame([("C1", "t1"), ("C2", "t2"), ("C2", "t2")], "route_id string, trip_id string")
+    stops = spark.createDataFrame([("s", "Gare"), ("p", "Gare")], "stop_id string, stop_name string")
+    times = [("t1", "s", "08:00:00"), ("t1", "p", "08:00:00"), ("t1", "s", "09:00:00"), ("t2", "s", None)]
+    stop_times = spark.createDataFrame(times, "trip_id string, stop_id string, departure_time string")
+    found = build_schedule(routes, trips, stop_times, stops)
+    assert rows_of(found.select("line_code", "route_short_name", "trip_id", "stop_name", "departure_time")) == [
+        ("C1", "1", "t1", "Gare", "08:00:00"), ("C1", "1", "t1", "Gare", "09:00:00"), ("C2", None, "t2", "Gare", None)
+    ]
+    assert build_schedule(routes, trips, stop_times, stops, distinct=False).count() == 5
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "HashAggregate" not in plan
