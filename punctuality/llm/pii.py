@@ -4,10 +4,11 @@ Exact patterns with checks give the base spans. High-recall generators propose f
 that looks like an address, a number or a secret); boosted trees score them by format and by context, and a threshold
 for each kind, calibrated on held-out candidates, selects what is redacted besides the base spans.
 
-The trees are fitted on at most ``SAMPLE`` candidates of about ``DOCUMENTS`` texts of the corpus, those of smallest hashes,
-together with made-up examples of each kind. Labels come from the exact checks and, beyond them, from digits, shapes and the words before a
+The trees are fitted on the candidates of all texts of the corpus, together with made-up examples of each kind, which count
+as much as the corpus where that has more. Labels come from the exact checks and, beyond them, from digits, shapes and the words before a
 span: national phone numbers, spread cards and spaced addresses are positives; orders, dates and versions are negatives.
-Thresholds are calibrated on held-out candidates outside the base patterns, the only ones that detection asks about.
+Thresholds are calibrated on a third of the candidates, held out from the trees by their hash: on all of these outside the
+base patterns, the only ones that detection asks about. Candidates are counted by bins in Spark and never meet in the driver.
 Detection is map-only: the model is a few kilobytes.
 """
 
@@ -28,13 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from punctuality.llm.boosting import BoostedTrees, fit, threshold_for
-from punctuality.llm.common import slices
+from punctuality.llm.boosting import BoostedTrees, counted, fit_counted, quantile_cuts, thresholds_of
+from punctuality.llm.common import slices, stored
 
-#: Candidates that teach, and the texts they come from.
-SAMPLE, DOCUMENTS = 20_000, 20_000
 KINDS = ("email", "ip", "card", "phone", "secret")
 PRECISION = 0.98
+#: Candidates that a task hands on together, and more by one text at most.
+BATCH = 4096
 #: Lowest probability at which a candidate is ever taken.
 LEAST = 0.5
 
@@ -229,11 +230,11 @@ def made_up(count: int = 120, seed: int = 7) -> list[str]:
     return out
 
 
-def labelled(text: str) -> list[tuple[int, int, bool, list[float]]]:
-    """Kind, label, if it overlaps no base span, and features of each candidate."""
+def labelled(text: str) -> list[tuple[Span, int, bool, list[float]]]:
+    """Span, label, if it overlaps no base span, and features of each candidate."""
     base = set(base_spans(text))
     taken = _Taken(base)
-    return [(s[0], weak_label(text, s, base), not taken.meets(s[1], s[2]), features(text, s)) for s in proposals(text)]
+    return [(s, weak_label(text, s, base), not taken.meets(s[1], s[2]), features(text, s)) for s in proposals(text)]
 
 
 class _Taken:
@@ -279,37 +280,46 @@ class Detector:
         return base, sorted([*base, *chosen])
 
 
-def fitted(docs: DataFrame, text_column: str = "text", sample: int = SAMPLE, documents: int = DOCUMENTS) -> Detector:
-    """A detector fitted on the made-up examples and at most ``sample`` candidates of the corpus, of the smallest hashes, out of
-    about ``documents`` texts of the smallest hashes, copies counted once."""
-    h = F.pmod(F.xxhash64(text_column), F.lit(1 << 30))
-    share = documents / max(docs.count(), 1)
-    docs = docs.select(text_column).filter(h < F.lit(int(min(share, 1.0) * (1 << 30)))).distinct()
+def candidates(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """``(text_id, kind, start, end, label, free, row)`` of every candidate, copies of a text counted once; ``row`` has its features."""
+
+    names = ["text_id", "kind", "start", "end", "label", "free", "row"]
+    kinds = pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.list_(pa.float64())
+
+    def table(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], kind) for i, kind in enumerate(kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 0):
-            kinds, labels, free, rows, order = [], [], [], [], []
+            found: list[tuple] = []
             for text in part.column(0).to_pylist():
                 if text:
-                    for kind, label, outside, row in labelled(text):
-                        kinds.append(kind)
-                        labels.append(label)
-                        free.append(outside)
-                        rows.append(row)
-                        order.append(xxhash.xxh3_64_intdigest(repr((kind, row)).encode()) >> 1)
-            columns = [pa.array(kinds, pa.int64()), pa.array(labels, pa.int64()), pa.array(free, pa.bool_()), pa.array(rows, pa.list_(pa.float64())), pa.array(order, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=["kind", "label", "free", "row", "o"])
-
-    found = docs.select(text_column).mapInArrow(run, "kind long, label long, free boolean, row array<double>, o long")
-    rows = [(r.kind, r.label, r.free, r.row) for r in found.orderBy("o", "kind", "label", "free").limit(sample).collect()]
-    rows += [x for text in made_up() for x in labelled(text)]
-    kinds, labels = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], dtype=float)
-    free, values = np.array([r[2] for r in rows]), np.array([r[3] for r in rows], dtype=float)
-    held_out = np.random.default_rng(11).random(len(rows)) < 1 / 3
-    trees = fit(values[~held_out], labels[~held_out])
-    score = trees.probability(values[held_out])
-    limits = [threshold_for(score[k], labels[held_out][k], PRECISION, LEAST) for k in ((kinds == n)[held_out] & free[held_out] for n in range(len(KINDS)))]
-    return Detector(trees, limits)
+                    name = xxhash.xxh3_128_digest(text.encode())
+                    found += [(name, *span, label, free, row) for span, label, free, row in labelled(text)]
+                if len(found) > BATCH:
+                    yield table(found)
+                    found = []
+            yield table(found)
+
+    layout = "text_id binary, kind long, start long, end long, label long, free boolean, row array<double>"
+    return docs.select(text_column).mapInArrow(run, layout).distinct()
+
+
+def fitted(docs: DataFrame, text_column: str = "text") -> Detector:
+    """A detector fitted on the candidates of all of ``docs`` and the made-up examples, a third of them held out for the thresholds."""
+    spark = docs.sparkSession
+    invented = candidates(spark.createDataFrame([(text,) for text in made_up()], "text string"))
+    every = candidates(docs, text_column).withColumn("invented", F.lit(False)).unionByName(invented.withColumn("invented", F.lit(True)))
+    every = stored(every, "candidates")
+    number = {r.invented: r["count"] for r in every.groupBy("invented").count().collect()}
+    weight = max(1, round(number.get(False, 0) / number[True]))
+    held_out = F.pmod(F.xxhash64("text_id", "kind", "start", "end"), F.lit(3)) == 0
+    every = every.withColumns({"held_out": held_out, "n": F.when(F.col("invented"), weight).otherwise(1).cast("long")})
+    cuts = quantile_cuts(every.filter(~F.col("held_out")), len(features("0", (0, 0, 1))))
+    bins = stored(counted(every.filter(~F.col("held_out") | F.col("free")), cuts, "held_out", "kind", "label"), "candidate-bins")
+    trees = fit_counted(bins.filter(~F.col("held_out")), cuts)
+    limits = thresholds_of(bins.filter("held_out"), cuts, trees, "kind", PRECISION, LEAST)
+    return Detector(trees, [limits.get(kind, LEAST) for kind in range(len(KINDS))])
 
 
 def _line(spans: list[Span]) -> str:

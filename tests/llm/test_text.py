@@ -180,6 +180,54 @@ def test_boosting_separates():
     assert boosting.threshold_for(np.array([0.9, 0.8, 0.7]), np.array([1.0, 1.0, 0.0]), 0.98, 0.5) == 0.8
 
 
+def test_counted_trees_and_thresholds_are_those_of_all_rows(spark):
+    """Rows that count several times, in many partitions, give the trees and thresholds of all rows in one array."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    values = rng.integers(0, 12, size=(900, 3)).astype(float)
+    labels = ((values[:, 0] > 5) ^ (rng.random(900) < 0.1)).astype(int)
+    times, kinds = rng.integers(1, 4, 900), rng.integers(0, 3, 900)
+    labels[kinds == 2] = 0
+    rows = [(v.tolist(), int(y), int(k), int(n)) for v, y, k, n in zip(values, labels, kinds, times, strict=True)]
+    table = spark.createDataFrame(rows, "row array<double>, label long, kind long, n long").repartition(7)
+    every, truth, of = np.repeat(values, times, axis=0), np.repeat(labels, times).astype(float), np.repeat(kinds, times)
+    plain = boosting.fit(every, truth, trees=3)
+    cuts = boosting.quantile_cuts(table, 3)
+    bins = boosting.counted(table, cuts, "kind", "label").cache()
+    assert bins.agg(F.sum("n")).first()[0] == times.sum()
+    trees = boosting.fit_counted(bins, cuts, trees=3)
+    assert (trees.feature == plain.feature).all() and (trees.cut == plain.cut).all() and np.allclose(trees.leaf, plain.leaf, atol=1e-5)
+    score = np.floor(trees.probability(every) * boosting.SCORES) / boosting.SCORES
+    limits = {k: boosting.threshold_for(score[of == k], truth[of == k], 0.85, 0.5) for k in (0, 1)}
+    assert boosting.thresholds_of(bins, cuts, trees, "kind", 0.85, 0.5) == limits  # kind 2 has no threshold
+
+
+def test_every_candidate_of_the_corpus_teaches(spark, monkeypatch):
+    """More texts than a driver would take; copies count once, and made-up examples as much as the corpus."""
+    taught, judged = [], []
+
+    def fit(rows, cuts):
+        taught.append(rows.agg(F.sum("n")).first()[0])
+        return boosting.fit_counted(rows, cuts, trees=1)
+
+    def limits(rows, *more):
+        judged.append(rows.agg(F.sum("n")).first()[0])
+        return boosting.thresholds_of(rows, *more)
+
+    monkeypatch.setattr(pii, "fit_counted", fit)
+    monkeypatch.setattr(pii, "thresholds_of", limits)
+    n = F.col("id").cast("string")
+    docs = spark.range(30_000).select("id", F.concat(F.lit("order "), F.lpad(n, 12, "7"), F.lit(" came")).alias("text"))
+    one = pii.candidates(docs.limit(1)).count()
+    pii.fitted(docs.unionByName(docs.limit(5000)))
+    made = pii.candidates(spark.createDataFrame([(text,) for text in pii.made_up()], "text string"))
+    every, weight = 30_000 * one, round(30_000 * one / made.count())
+    assert one > 0 and weight > 1
+    free = made.filter("free").count() * weight + every
+    assert abs(taught[0] / (every + made.count() * weight) - 2 / 3) < 0.02 and abs(judged[0] / free - 1 / 3) < 0.02
+
+
 def toxic_rows():
     import random
 
