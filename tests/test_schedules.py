@@ -11,7 +11,7 @@ from punctuality.__main__ import arguments, run
 from punctuality.operators import indicators, matching, ranking
 from punctuality.operators.passages import build_passages, flatten_snapshots
 from punctuality.operators.schedule import build_schedule
-from punctuality.plans import pipeline
+from punctuality.plans import pipeline, queries
 from punctuality.sources.schedules import last_load, load_schedule, read_loads
 from punctuality.sources.snapshots import read_snapshots
 from punctuality.sources.store import DATE, Store
@@ -160,3 +160,28 @@ def test_distinct_departures_are_told_by_a_sort(spark):
     assert build_schedule(routes, trips, stop_times, stops, distinct=False).count() == 5
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "HashAggregate" not in plan
+
+
+def test_loads_of_one_schedule_join_its_feed_once(spark, tmp_path, monkeypatch):
+    """Every load reads stored departures, not the feed tables; the spans of a line and stop lie in one file."""
+    tables = {
+        "nation": "SELECT CAST(id AS INT) AS n_nationkey, concat('N', id) AS n_name FROM range(25)",
+        "orders": "SELECT id AS o_orderkey, id * 7 AS o_custkey FROM range(60)",
+        "part": "SELECT id AS p_partkey, concat('stop ', id % 8) AS p_name, 'x' AS p_type FROM range(40)",
+        "lineitem": "SELECT id % 60 AS l_orderkey, id % 40 AS l_partkey, CAST(id AS INT) AS l_linenumber FROM range(600)",
+        "events": "SELECT id AS event_id, timestamp_ntz'2024-01-10 08:00:00' + make_dt_interval(id % 9, 0, id) AS ts, id AS user_id, 'view' AS event_type FROM range(200)",
+    }
+    for name, text in tables.items():
+        spark.sql(text).write.parquet(str(tmp_path / f"{name}.parquet"))
+    read, paths = [], []
+
+    def load(departures, path, *more):
+        read.append(departures.inputFiles())
+        paths.append(path)
+        return load_schedule(departures, path, *more)
+
+    monkeypatch.setattr(queries.schedules, "load_schedule", load)
+    found = queries.schedule_versions(spark, str(tmp_path))
+    assert found.count() and len(read) == 3 and all(files and not any(str(tmp_path) in file for file in files) for files in read)
+    whole = read_loads(spark, paths[0])[0].spans.withColumn("file", F.input_file_name())
+    assert whole.groupBy(*matching.GROUP).agg(F.countDistinct("file").alias("n")).filter("n > 1").isEmpty()
