@@ -28,8 +28,10 @@ from tokenizers import Tokenizer
 from punctuality.llm.common import slices, split_words
 
 SHORT = 32
-#: Entries a worker remembers of pieces and of words before it starts again.
+#: Entries a task remembers of pieces and of words before it starts again.
 REMEMBERED = 400_000
+#: Pieces whose ids are gathered at once.
+GATHERED = 1 << 16
 NEVER = np.int32(2**31 - 1)
 #: The split pattern of the file, for printable lower-case ASCII and for printable text below PLAIN_END, where no
 #: character composes with another and letter case does not depend on the neighbours.
@@ -187,11 +189,21 @@ class WordBpe:
         sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
         table = np.frombuffer(b"".join(packed), dtype="<u4")
         starts = np.cumsum(sizes) - sizes
-        lengths = sizes[codes]
-        ends = np.cumsum(lengths)
-        at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[codes] - (ends - lengths), lengths)
-        bounds = np.concatenate(([0], ends))[np.cumsum(counts)]
-        return table[at], bounds
+        ends = np.concatenate(([0], np.cumsum(sizes[codes])))
+        ids = np.empty(int(ends[-1]), dtype="<u4")
+        for first in range(0, len(codes), GATHERED):  # so that only the ids themselves are as long as the slice
+            own = codes[first : first + GATHERED]
+            begin, end = ends[first], ends[first + len(own)]
+            lengths = sizes[own]
+            at = np.arange(end - begin) + np.repeat(starts[own] - (ends[first : first + len(own)] - begin), lengths)
+            ids[begin:end] = table[at]
+        return ids, ends[np.cumsum(counts)]
+
+    def forget(self) -> None:
+        """Give back what was remembered: a worker outlives its task and would hold it through the stages that follow."""
+        self._pieces.clear()
+        self._words = dict(self._special)
+        pa.default_memory_pool().release_unused()
 
     def encode_batch(self, batch: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
@@ -224,6 +236,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
             offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([part.column(0), lists, decoded], names=[id_column, "ids", "decoded"])
+        bpe.forget()
 
     rows = docs.select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()
@@ -250,6 +263,7 @@ def digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_column:
                 pa.array([digest(bpe.decode(p)) for p in held], pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
+        bpe.forget()
 
     rows = docs.select(id_column, text_column)
     kind = rows.schema[0].dataType.simpleString()

@@ -63,6 +63,7 @@ def cut(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END, id
                 columns.append(pa.array(ids, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
+        bpe.forget()
 
     rows = docs.select(id_column, text_column, F.monotonically_increasing_id().alias("row_key"))
     kind = rows.schema[0].dataType.simpleString()

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -47,6 +48,27 @@ def test_round_trip_of_rows(docs, library):
     assert bpe.encode(docs.limit(0), vocabulary()).collect() == []
 
 
+@pytest.mark.parametrize("gathered", [1, 3, 1 << 16])
+def test_ids_do_not_depend_on_how_many_pieces_are_gathered(library, monkeypatch, gathered):
+    monkeypatch.setattr(bpe, "GATHERED", gathered, raising=False)
+    assert [x.tolist() for x in bpe.encoder(vocabulary()).encode_batch(ODD)] == [ids_of(library, text) for text in ODD]
+
+
+@pytest.mark.parametrize("job", [bpe.digests, bpe.encode, packing.cut])
+def test_workers_keep_no_pieces_after_a_task(spark, job):
+    """Workers are used again by later stages, which should not carry what a tokenizer task has learned."""
+    path = vocabulary()
+    docs = spark.range(0, 64, 1, 8).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(0, 50), x -> 'w' || (x * 97 + id))) AS text")
+
+    def held(batches):
+        for batch in batches:
+            bpe_here = bpe.encoder(path)
+            yield pa.RecordBatch.from_arrays([pa.array([len(bpe_here._pieces)] * batch.num_rows, pa.int64())], names=["n"])
+
+    job(docs, path).write.format("noop").mode("overwrite").save()
+    assert {r.n for r in spark.range(0, 64, 1, 8).mapInArrow(held, "n long").collect()} == {0}
+
+
 def test_digests(docs):
     held = {r.n_tokens for r in bpe.digests(docs.filter("text is null"), vocabulary()).collect()}
     assert held == {0}
