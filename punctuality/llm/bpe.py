@@ -7,7 +7,8 @@ beyond ``SHORT`` parts keeps its ranks in a heap instead, which gives the same m
 
 The result equals the tokenizers library with the same file: normalisation (NFC, white space, lower case) and the
 split into words follow that file, special tokens in a text are taken literally, and a text's ids are the ids of
-its pieces between white space.
+its pieces between white space. Pieces of plain characters, nearly all in most texts, are split together by the kinds of
+their characters; the others go one by one through the patterns or the library.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import hashlib
 import heapq
 import json
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -30,7 +32,7 @@ from punctuality.llm.common import slices, split_words
 SHORT = 32
 #: Entries a task remembers of pieces and of words before it starts again.
 REMEMBERED = 400_000
-#: Pieces whose ids are gathered at once.
+#: Pieces that are split into words at once.
 GATHERED = 1 << 16
 NEVER = np.int32(2**31 - 1)
 #: The split pattern of the file, for printable lower-case ASCII and for printable text below PLAIN_END, where no
@@ -38,6 +40,27 @@ NEVER = np.int32(2**31 - 1)
 ASCII_WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 PLAIN_END = "\u0180"
 PLAIN_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+#: Kinds of characters. Without ODD ones, the words of the split pattern are runs of one kind, and each digit is a word.
+SPACE, LETTER, DIGIT, OTHER, ODD = range(5)
+
+
+def _kind(c: str) -> int:
+    """ODD: what may begin a contraction or a special token, and what is not below PLAIN_END as it is or in lower case."""
+    if c == " ":
+        return SPACE
+    if not c.isprintable() or c in "'<" or max(c.lower()) >= PLAIN_END:
+        return ODD
+    return {"L": LETTER, "N": DIGIT}.get(unicodedata.category(c.lower())[0], OTHER)
+
+
+KINDS = np.array([*(_kind(chr(n)) for n in range(ord(PLAIN_END))), ODD], dtype=np.uint8)
+LOWER = np.array([ord(chr(n).lower()[0]) for n in range(ord(PLAIN_END))], dtype="<u4")
+
+
+def _letters(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The characters of all pieces, a space after each piece, and their kinds."""
+    letters = np.frombuffer(" ".join([*pieces, ""]).encode("utf-32-le"), dtype="<u4")
+    return letters, KINDS[np.minimum(letters, ord(PLAIN_END))]
 
 
 class WordBpe:
@@ -52,8 +75,12 @@ class WordBpe:
         self.vocab: dict[str, int] = held["model"]["vocab"]
         self._suffix: str = held["model"]["end_of_word_suffix"]
         special = {token["content"]: token["id"] for token in held["added_tokens"]}
-        self._special = {token: self._packed([number]) for token, number in special.items()}
+        # The space only parts pieces that are split together, so it has no ids.
+        self._special = {" ": b""} | {token: self._packed([number]) for token, number in special.items()}
         self._bytes = {n: "".join(w for w, _ in self._split(chr(n))) for n in range(33, ord(PLAIN_END)) if chr(n).isprintable()}
+        self._symbols = np.arange(256, dtype="<u4")
+        for n, symbols in self._bytes.items():
+            self._symbols[[*chr(n).encode()]] = [*map(ord, symbols)]
         alphabet = [c for c in self.vocab if len(c) == 1]
         self._inner = np.zeros(max(map(ord, alphabet)) + 1, dtype=np.int32)
         self._final = self._inner.copy()
@@ -91,32 +118,29 @@ class WordBpe:
         letters = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")
         parts = self._inner[letters]
         parts[last] = self._final[letters[last]]
-        owner = np.repeat(np.arange(len(words)), sizes)
-        ranks = np.full(len(parts), NEVER, dtype=np.int32)
+        ranks = np.full(len(parts), NEVER, dtype=np.int64)
         ranks[:-1] = self._ranks(parts[:-1], parts[1:])
         ranks[last] = NEVER
-        while len(parts):
-            starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-            least = np.minimum.reduceat(ranks, starts)
-            size = np.diff(np.append(starts, len(parts)))
-            found = np.flatnonzero((ranks == np.repeat(least, size)) & (ranks != NEVER))
-            if not len(found):
+        while True:
+            starts = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(ranks << 32 | np.arange(len(ranks)), starts)  # the leftmost of equal ranks
+            go = np.flatnonzero(least >> 32 != NEVER)
+            if not len(go):
                 break
-            at = found[np.concatenate(([True], owner[found][1:] != owner[found][:-1]))]
-            parts[at] = self._merged[ranks[at]]
-            ends_here = ranks[at + 1] == NEVER
-            ends_here &= np.append(owner, -1)[at + 2] != owner[at]
+            at, best = least[go] & 0xFFFFFFFF, least[go] >> 32
+            parts[at] = self._merged[best]
             keep = np.ones(len(parts), dtype=bool)
             keep[at + 1] = False
-            at -= np.arange(len(at))
-            parts, ranks, owner = parts[keep], ranks[keep], owner[keep]
-            go = at[~ends_here]
+            parts, ranks = parts[keep], ranks[keep]
+            sizes[go] -= 1
+            gone = np.arange(len(go))
+            at -= gone
+            first = starts[go] - gone
+            ends_here = at == first + sizes[go] - 1
             ranks[at[ends_here]] = NEVER
-            ranks[go] = self._ranks(parts[go], parts[go + 1])
-            back = at[at > 0]
-            back = back[owner[back - 1] == owner[back]] - 1
-            ranks[back] = self._ranks(parts[back], parts[back + 1])
-        bounds = (np.searchsorted(owner, np.arange(len(words) + 1)) * 4).tolist()
+            for pair in (at[~ends_here], at[at > first] - 1):
+                ranks[pair] = self._ranks(parts[pair], parts[pair + 1])
+        bounds = np.concatenate(([0], np.cumsum(sizes * 4))).tolist()
         packed = parts.astype("<u4").tobytes()
         return [packed[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
 
@@ -144,7 +168,7 @@ class WordBpe:
         return self._packed(i for i in ids if i >= 0)
 
     def _learn_words(self, words: list[str]) -> None:
-        short = [word for word in words if len(word) <= SHORT]
+        short = sorted((word for word in words if len(word) <= SHORT), key=len)  # those of like length need about as many merges
         for start in range(0, len(short), 16384):
             part = short[start : start + 16384]
             self._words.update(zip(part, self._merge_short(part), strict=True))
@@ -161,43 +185,64 @@ class WordBpe:
                 return [word.translate(self._bytes) for word in PLAIN_WORDS.findall(low)]
         return [word for word, _ in self._split(self._normalize(piece))]
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _plain(self, pieces: list[str]) -> pa.LargeBinaryArray:
+        """Ids of pieces without ODD characters. The words of all pieces are found at once; each distinct one is looked up once."""
+        letters, kinds = _letters(pieces)
+        low = LOWER[letters]
+        begins = np.flatnonzero(np.concatenate(([True], (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT))))
+        bounds = np.concatenate(([0], np.cumsum(1 + (low >= 128), dtype=np.int64)))[np.append(begins, len(low))]
+        text = pa.py_buffer(low.tobytes().decode("utf-32-le").encode())
+        coded = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(bounds), text).dictionary_encode()
+        distinct = np.frombuffer("\n".join(coded.dictionary.to_numpy(zero_copy_only=False)).encode(), dtype=np.uint8)
+        words = self._symbols[distinct].tobytes().decode("utf-32-le").split("\n")
+        known = self._words
+        self._learn_words([word for word in words if word not in known])
+        _, ends, ids = pa.array([known[word] for word in words], pa.large_binary()).take(coded.indices).buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[1 : len(begins) + 1][kinds[begins] == SPACE]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pieces), [None, pa.py_buffer(np.concatenate(([0], ends))), ids])
+
+    def _odd(self, pieces: list[str]) -> pa.LargeBinaryArray:
+        """Ids of any pieces, each split on its own unless it is remembered."""
+        if len(self._pieces) > REMEMBERED:
+            self._pieces.clear()
+        new = [piece for piece in pieces if piece not in self._pieces]
         made: list[list[str]] = []
-        for piece in pieces:
+        for piece in new:
             if "<|" in piece and self._special_pattern.search(piece):
                 parts = self._special_pattern.split(piece)
                 made.append([w for n, p in enumerate(parts) if p for w in ([p] if n % 2 else self._words_of(p))])
             else:
                 made.append(self._words_of(piece))
-        if len(self._words) > REMEMBERED:
-            self._words = dict(self._special)
         known = self._words
         self._learn_words([word for word in set().union(*made) if word not in known])
-        self._pieces.update((piece, b"".join([known[w] for w in words])) for piece, words in zip(pieces, made, strict=True))
+        self._pieces.update((piece, b"".join([known[w] for w in words])) for piece, words in zip(new, made, strict=True))
+        return pa.array([self._pieces[piece] for piece in pieces], pa.large_binary())
+
+    def _ids(self, pieces: list[str]) -> pa.LargeBinaryArray:
+        """Ids of each piece."""
+        if len(self._words) > REMEMBERED:
+            self._words = dict(self._special)
+        _, kinds = _letters(pieces)
+        plain = np.ones(len(pieces), dtype=bool)
+        plain[np.searchsorted(np.flatnonzero(kinds == SPACE), np.flatnonzero(kinds == ODD))] = False
+        if plain.all():
+            return self._plain(pieces)
+        if not plain.any():
+            return self._odd(pieces)
+        own, others = np.flatnonzero(plain), np.flatnonzero(~plain)
+        found = pa.concat_arrays([self._plain([pieces[n] for n in own]), self._odd([pieces[n] for n in others])])
+        return found.take(pa.array(np.argsort(np.concatenate((own, others)))))
 
     def encode_slice(self, part: pa.RecordBatch, column: int = 1) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, one after the other, and where each text's ids end."""
         pieces, codes, counts = split_words(part, column)
-        wanted = pieces.to_pylist()
-        if len(self._pieces) > REMEMBERED:
-            self._pieces.clear()
-        known = self._pieces
-        new = [piece for piece in wanted if piece not in known]
-        if new:
-            self._learn(new)
-        packed = [known[piece] for piece in wanted]
-        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // 4
-        table = np.frombuffer(b"".join(packed), dtype="<u4")
-        starts = np.cumsum(sizes) - sizes
-        ends = np.concatenate(([0], np.cumsum(sizes[codes])))
-        ids = np.empty(int(ends[-1]), dtype="<u4")
-        for first in range(0, len(codes), GATHERED):  # so that only the ids themselves are as long as the slice
-            own = codes[first : first + GATHERED]
-            begin, end = ends[first], ends[first + len(own)]
-            lengths = sizes[own]
-            at = np.arange(end - begin) + np.repeat(starts[own] - (ends[first : first + len(own)] - begin), lengths)
-            ids[begin:end] = table[at]
-        return ids, ends[np.cumsum(counts)]
+        if not len(codes):
+            return np.empty(0, dtype="<u4"), np.zeros(len(counts), dtype=np.int64)
+        wanted = pieces.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes an object of Arrow's for each first
+        found = [self._ids(wanted[start : start + GATHERED]) for start in range(0, len(wanted), GATHERED)]
+        _, ends, ids = pa.concat_arrays(found).take(pa.array(codes)).buffers()
+        ends = np.frombuffer(ends, dtype=np.int64)[: len(codes) + 1] // 4
+        return np.frombuffer(ids, dtype="<u4")[: ends[-1]], ends[np.cumsum(counts)]
 
     def forget(self) -> None:
         """Give back what was remembered: a worker outlives its task and would hold it through the stages that follow."""

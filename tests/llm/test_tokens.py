@@ -54,6 +54,24 @@ def test_ids_do_not_depend_on_how_many_pieces_are_gathered(library, monkeypatch,
     assert [x.tolist() for x in bpe.encoder(vocabulary()).encode_batch(ODD)] == [ids_of(library, text) for text in ODD]
 
 
+def test_plain_pieces_are_split_together(library, monkeypatch):
+    """Only pieces with an apostrophe, a "<" or other than plain characters are taken one by one, and each of them once."""
+    held, alone = bpe.WordBpe(vocabulary()), []
+    split = held._words_of
+    monkeypatch.setattr(held, "_words_of", lambda piece: alone.append(piece) or split(piece))
+    plain = [f"W{n}-straße,{chr(97 + n % 26) * (n % 40)}É{n}²!" for n in range(500)]
+    odd = ["it's", "<b>", "Σ", "日本", "İ", "\x00"]
+    texts = [" ".join(plain), "", " ".join(odd + plain[:5] + odd), *odd, *plain[:5]]
+    assert [x.tolist() for x in held.encode_batch(texts)] == [ids_of(library, text) for text in texts]
+    assert sorted(alone) == sorted(odd)
+
+
+def test_every_character_beside_others_equals_library(library):
+    near = ["{0}", "{0}{0}", "a{0}b", "A{0}É", "1{0}2", ".{0}!", "'{0}", "{0}'s", "<{0}|endoftext|>", "<|endoftext|>{0}"]
+    texts = [form.format(chr(n)) for n in range(0x250) for form in near]
+    assert [x.tolist() for x in bpe.encoder(vocabulary()).encode_batch(texts)] == [ids_of(library, text) for text in texts]
+
+
 @pytest.mark.parametrize("job", [bpe.digests, bpe.encode, packing.cut])
 def test_workers_keep_no_pieces_after_a_task(spark, job):
     """Workers are used again by later stages, which should not carry what a tokenizer task has learned."""
