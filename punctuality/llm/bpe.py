@@ -30,6 +30,7 @@ from tokenizers import Tokenizer
 from punctuality.llm.common import slices, split_words
 
 SHORT = 32
+SLOT_BITS = 18
 #: Entries a task remembers of pieces and of words before it starts again.
 REMEMBERED = 400_000
 #: Pieces that are split into words at once.
@@ -92,9 +93,15 @@ class WordBpe:
         left = np.array([self.vocab[a] for a, _ in pairs], dtype=np.int64)
         right = np.array([self.vocab[b] for _, b in pairs], dtype=np.int64)
         self._merged = np.array([self.vocab[a + b] for a, b in pairs], dtype=np.int32)
-        keys = left << 32 | right
-        self._order = np.argsort(keys, kind="stable").astype(np.int32)
-        self._keys = keys[self._order]
+        self._keys = left << 32 | right
+        self._rank = {key: rank for rank, key in enumerate(self._keys.tolist())}
+        # Each pair has a slot; of pairs with one slot the last has it, the others are looked for by bisection.
+        slots, numbers = self._slot(self._keys), np.arange(len(pairs), dtype=np.int32)
+        self._slots = np.full(1 << SLOT_BITS, -1, dtype=np.int32)
+        self._slots[slots] = numbers
+        others = numbers[self._slots[slots] != numbers]
+        self._others = others[np.argsort(self._keys[others])]
+        self._other_keys = np.append(self._keys[self._others], np.iinfo(np.int64).max)
         self._pieces: dict[str, bytes] = {}
         self._words: dict[str, bytes] = dict(self._special)
 
@@ -102,11 +109,21 @@ class WordBpe:
     def _packed(ids: Iterable[int]) -> bytes:
         return np.fromiter(ids, dtype="<u4").tobytes()
 
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of adjacent parts, NEVER where there is no merge."""
         keys = left.astype(np.int64) << 32 | right.astype(np.int64)
-        place = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
-        return np.where(self._keys[place] == keys, self._order[place], NEVER)
+        ranks = self._slots[self._slot(keys)]
+        unlike = np.flatnonzero(self._keys[ranks] != keys)
+        taken = unlike[ranks[unlike] >= 0]
+        ranks[unlike] = NEVER
+        place = np.searchsorted(self._other_keys, keys[taken])
+        found = self._other_keys[place] == keys[taken]
+        ranks[taken[found]] = self._others[place[found]]
+        return ranks
 
     def _initial(self, word: str) -> list[int]:
         return [self.vocab[c] for c in word[:-1]] + [self.vocab[word[-1] + self._suffix]]
@@ -149,7 +166,6 @@ class WordBpe:
         ids = self._initial(word)
         after = [*range(1, len(ids)), -1]
         before = [-1, *range(len(ids) - 1)]
-        rank = lambda a, b: int(self._ranks(np.array([a]), np.array([b]))[0])
         first = self._ranks(np.array(ids[:-1]), np.array(ids[1:]))
         heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NEVER]
         heapq.heapify(heap)
@@ -163,7 +179,7 @@ class WordBpe:
             if after[i] >= 0:
                 before[after[i]] = i
             for x, y in ((before[i], i), (i, after[i])):
-                if x >= 0 and y >= 0 and (r := rank(ids[x], ids[y])) != NEVER:
+                if x >= 0 and y >= 0 and (r := self._rank.get(ids[x] << 32 | ids[y])) is not None:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return self._packed(i for i in ids if i >= 0)
 

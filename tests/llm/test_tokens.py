@@ -66,6 +66,17 @@ def test_plain_pieces_are_split_together(library, monkeypatch):
     assert sorted(alone) == sorted(odd)
 
 
+def test_every_pair_has_its_rank_and_no_other():
+    held = bpe.encoder(vocabulary())
+    left, right = held._keys >> 32, held._keys & 0xFFFFFFFF
+    assert held._ranks(left, right).tolist() == list(range(len(left)))
+    known = set(held._keys.tolist())
+    rng = np.random.default_rng(3)
+    a, b = rng.choice(left, 200_000), rng.choice(right, 200_000)
+    wrong = np.array([key not in known for key in (a << 32 | b).tolist()])
+    assert ((held._ranks(a, b) == bpe.NEVER) == wrong).all() and wrong.any() and not wrong.all()
+
+
 def test_every_character_beside_others_equals_library(library):
     near = ["{0}", "{0}{0}", "a{0}b", "A{0}É", "1{0}2", ".{0}!", "'{0}", "{0}'s", "<{0}|endoftext|>", "<|endoftext|>{0}"]
     texts = [form.format(chr(n)) for n in range(0x250) for form in near]
